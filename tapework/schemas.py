@@ -22,6 +22,8 @@ VENDOR_METRICS = {
     "Volume": "volume",
 }
 EXCHANGE_SUFFIX = ".SA"
+# Partition columns of each write granularity; "day" is the layout of the raw layer.
+GRANULARITY = {"day": ["ano", "mes", "dia"], "month": ["ano", "mes"], "year": ["ano"]}
 EXCHANGE_ZONE = "America/Sao_Paulo"
 
 QUOTES = _struct(
