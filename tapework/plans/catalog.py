@@ -1,7 +1,7 @@
 """Registered queries: every operator and model over the given tables.
 
-Each query takes ``(spark, sf_dir)``. Logarithms, returns, volatilities and other ratios are rounded
-to six digits here, because engines add floats in different orders; the operators do not round.
+Each query takes ``(spark, sf_dir)``. Logarithms, volatilities and means of fractions are rounded to
+six digits here, because engines add floats in different orders; the operators do not round.
 """
 
 import datetime as dt
@@ -35,18 +35,16 @@ START, END = dt.date(1997, 1, 1), dt.date(1998, 12, 31)
 TODAY = dt.date(2001, 8, 1)
 YEARS = range(1995, 2002)
 
-RETURNS = ["retorno_simples", "retorno_log", "retorno_acumulado"]
 VOLATILITIES = [f"volatilidade_{n}d" for n in indicators.VOLATILITY_WINDOWS]
-DAILY_RATIOS = [*RETURNS, *VOLATILITIES, *[f"{c}_anual" for c in VOLATILITIES], "drawdown"]
-SUMMARY_RATIOS = [
-    "max_drawdown", "retorno_acumulado_total", "volatilidade_media_30d", "retorno_medio_diario",
-    "volume_medio",
+# Columns that engines may compute with a different last digit; all others are exact.
+INEXACT = [
+    "retorno_log", *VOLATILITIES, *[f"{c}_anual" for c in VOLATILITIES],
+    "volatilidade_media_30d", "retorno_medio_diario", "volatilidade_periodo", "volatilidade",
 ]
 
 
-def rounded(df, columns, digits=6):
-    # adding 0 turns a rounded −0.0 into 0.0
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in columns if c in df.columns})
+def rounded(df, digits=6):
+    return df.withColumns({c: F.round(c, digits) for c in INEXACT if c in df.columns})
 
 
 def _calendar(spark):
@@ -135,8 +133,7 @@ def calendar_of_data(spark, d):
 def sector_volume_literal(spark, d):
     """Sector volume with the mapping written out as literals instead of the dimension."""
     mapping = {r.ticker: r.setor for r in market.nation_companies(spark, d).collect()}
-    return rounded(exploratory.sector_volume(
-        market.nation_quotes(spark, d), literal_mapping(spark, mapping)), ["volume_medio"])
+    return exploratory.sector_volume(market.nation_quotes(spark, d), literal_mapping(spark, mapping))
 
 
 # --- sinks -----------------------------------------------------------------------------------------
@@ -222,7 +219,7 @@ def period_volatility(spark, d):
     house = nations(spark, d)
     grouped = house.daily.groupBy("empresa_id").agg(
         annualize(F.stddev_samp("retorno_log")).alias("volatilidade"))
-    return rounded(grouped, ["volatilidade"])
+    return rounded(grouped)
 
 
 def missing_tickers(spark, d):
@@ -242,33 +239,32 @@ def per_ticker_union(spark, d):
 def daily_part(*columns):
     def query(spark, d):
         picked = nations(spark, d).daily.select("empresa_id", "data", *columns)
-        return rounded(picked, DAILY_RATIOS)
+        return rounded(picked)
     return query
 
 
 def raw_returns(spark, d):
-    return rounded(exploratory.raw_returns(stage_table(
-        market.nation_quotes(spark, d).select("ticker", "data", "fechamento"), "fechamentos")), ["retorno_pct"])
+    return exploratory.raw_returns(stage_table(
+        market.nation_quotes(spark, d).select("ticker", "data", "fechamento"), "fechamentos"))
 
 
 # --- models ----------------------------------------------------------------------------------------
 
 def daily_indicators(house):
-    return lambda spark, d: rounded(house(spark, d).daily, DAILY_RATIOS)
+    return lambda spark, d: rounded(house(spark, d).daily)
 
 
 def indicator_summary(house):
-    return lambda spark, d: rounded(house(spark, d).summary, SUMMARY_RATIOS)
+    return lambda spark, d: rounded(house(spark, d).summary)
 
 
 def dividend_yield(house):
-    return lambda spark, d: rounded(house(spark, d).yields, ["dy_12m"])
+    return lambda spark, d: rounded(house(spark, d).yields)
 
 
 def dividend_yield_by_join(spark, d):
     house = nations(spark, d)
-    return rounded(indicators.dividend_yield_by_join(
-        house.quotes_view, house.dividends, house.calendar), ["dy_12m"])
+    return indicators.dividend_yield_by_join(house.quotes_view, house.dividends, house.calendar)
 
 
 # --- reports ---------------------------------------------------------------------------------------
@@ -288,27 +284,26 @@ def period_options(spark, d):
     return reports.period_starts(facts.with_date(house.quotes_view, house.calendar), house.company)
 
 
-def on_daily(report, *args, digits=None):
+def on_daily(report, *args):
     def query(spark, d):
         house = nations(spark, d)
-        result = report(house.daily, house.company, *args)
-        return rounded(result, digits) if digits else result
+        return rounded(report(house.daily, house.company, *args))
     return query
 
 
-def on_quotes(report, *args, digits=()):
+def on_quotes(report, *args):
     """For reports that need only the price and date of the daily mart."""
     def query(spark, d):
         house = nations(spark, d)
         dated = facts.with_date(house.quotes, house.calendar)
-        return rounded(report(dated, house.company, *args), digits)
+        return rounded(report(dated, house.company, *args))
     return query
 
 
-def on_yields(report, *args, digits=()):
+def on_yields(report, *args):
     def query(spark, d):
         house = nations(spark, d)
-        return rounded(report(house.yields, house.company, *args), digits)
+        return rounded(report(house.yields, house.company, *args))
     return query
 
 
@@ -323,7 +318,7 @@ def dividends_coverage(spark, d):
 
 
 def summary_card(spark, d):
-    return rounded(reports.summary_card(nations(spark, d).summary, TICKER), SUMMARY_RATIOS)
+    return rounded(reports.summary_card(nations(spark, d).summary, TICKER))
 
 
 def _comparison(spark, d):
@@ -332,16 +327,18 @@ def _comparison(spark, d):
 
 
 def comparison_table(spark, d):
-    return rounded(_comparison(spark, d), [*SUMMARY_RATIOS, "dy_atual"])
+    return rounded(_comparison(spark, d))
 
 
 def best_worst(spark, d):
     table = stage_table(_comparison(spark, d), "comparison")
-    return rounded(reports.best_worst_flags(table), ["valor"])
+    flags = reports.best_worst_flags(table)
+    inexact = F.col("metrica") == "volatilidade_media_30d"
+    return flags.withColumn("valor", F.when(inexact, F.round("valor", 6)).otherwise(F.col("valor")))
 
 
 def comparison_text(spark, d):
-    # six digits first, so that both engines print the same text
+
     return reports.comparison_text(comparison_table(spark, d))
 
 
@@ -503,30 +500,29 @@ QUERIES = {
     "w12_raw_returns": raw_returns,
     # exploratory
     "g1_coverage": lambda s, d: exploratory.coverage_by_ticker(market.nation_quotes(s, d)),
-    "g2_yearly_amplitude": lambda s, d: rounded(
-        exploratory.yearly_amplitude(market.nation_quotes(s, d)), ["amplitude_maxima"]),
-    "g3_sector_volume": lambda s, d: rounded(exploratory.sector_volume_series(
-        market.nation_quotes(s, d), market.nation_companies(s, d)), ["volume_medio"]),
-    "g4_extreme_returns": lambda s, d: rounded(exploratory.extreme_returns(stage_table(
-        market.nation_quotes(s, d).select("ticker", "data", "fechamento"), "fechamentos")), ["retorno_pct"]),
+    "g2_yearly_amplitude": lambda s, d: exploratory.yearly_amplitude(market.nation_quotes(s, d)),
+    "g3_sector_volume": lambda s, d: exploratory.sector_volume_series(
+        market.nation_quotes(s, d), market.nation_companies(s, d)),
+    "g4_extreme_returns": lambda s, d: exploratory.extreme_returns(stage_table(
+        market.nation_quotes(s, d).select("ticker", "data", "fechamento"), "fechamentos")),
     "g5_session_gaps": lambda s, d: exploratory.session_gaps(stage_table(
         market.nation_quotes(s, d).select("ticker", "data"), "pregoes")),
-    "g6_amplitude_matrix": lambda s, d: rounded(exploratory.amplitude_matrix(
-        market.nation_quotes(s, d), YEARS), [str(y) for y in YEARS]),
+    "g6_amplitude_matrix": lambda s, d: exploratory.amplitude_matrix(
+        market.nation_quotes(s, d), YEARS),
     # reports
     "r1_list_tickers": lambda s, d: reports.list_tickers(nations(s, d).company),
     "r2_date_range": ranges_of_all,
     "r2_date_range_of_ticker": range_of_ticker,
-    "r3_indicator_series": on_daily(reports.indicator_series, TICKER, START, END, digits=DAILY_RATIOS),
-    "r4_yield_series": on_yields(reports.yield_series, TICKER, START, END, digits=["dy_12m"]),
+    "r3_indicator_series": on_daily(reports.indicator_series, TICKER, START, END),
+    "r4_yield_series": on_yields(reports.yield_series, TICKER, START, END),
     "r5_period_returns": on_quotes(
-        reports.period_returns, START, END, digits=["retorno_janela", "base_100"]),
+        reports.period_returns, START, END),
     "r6_risk_return": on_daily(
-        reports.risk_return, START, END, digits=["retorno_periodo", "volatilidade_periodo"]),
+        reports.risk_return, START, END),
     "r7_quotes_coverage": quotes_coverage,
     "r7_dividends_coverage": dividends_coverage,
-    "r8_current_yield": on_yields(reports.current_yield, TICKER, digits=["dy_12m"]),
-    "r8_yield_ranking": on_yields(reports.yield_ranking, digits=["dy_12m"]),
+    "r8_current_yield": on_yields(reports.current_yield, TICKER),
+    "r8_yield_ranking": on_yields(reports.yield_ranking),
     "r9_summary_card": summary_card,
     "r10_comparison_table": comparison_table,
     "r10_comparison_text": comparison_text,
@@ -539,17 +535,17 @@ QUERIES = {
     "r13_summary": acceptance("resumo"),
     "r14_price_chart": on_daily(reports.price_chart, TICKER, START, END),
     "r14_return_chart": on_daily(
-        reports.return_chart, TICKER, START, END, digits=["retorno_acumulado"]),
+        reports.return_chart, TICKER, START, END),
     "r14_volatility_chart": on_daily(
-        reports.volatility_chart, TICKER, START, END, digits=DAILY_RATIOS),
-    "r14_drawdown_chart": on_daily(reports.drawdown_chart, TICKER, START, END, digits=["drawdown"]),
-    "r14_yield_chart": on_yields(reports.yield_chart, TICKER, START, END, digits=["dy_12m"]),
-    "r14_comparison_chart": on_quotes(reports.comparison_chart, START, END, True, digits=["valor"]),
+        reports.volatility_chart, TICKER, START, END),
+    "r14_drawdown_chart": on_daily(reports.drawdown_chart, TICKER, START, END),
+    "r14_yield_chart": on_yields(reports.yield_chart, TICKER, START, END),
+    "r14_comparison_chart": on_quotes(reports.comparison_chart, START, END, True),
     "r14_comparison_percent_chart": on_quotes(
-        reports.comparison_chart, START, END, False, digits=["valor"]),
+        reports.comparison_chart, START, END, False),
     "r14_risk_return_chart": on_daily(
-        reports.risk_return_chart, START, END, digits=["retorno_periodo", "volatilidade_periodo"]),
-    "r14_ranking_chart": on_yields(reports.ranking_chart, digits=["dy_pct"]),
+        reports.risk_return_chart, START, END),
+    "r14_ranking_chart": on_yields(reports.ranking_chart),
     # checks
     "q1_null_volumes": null_volumes,
     "q2_repeated_dates": repeated_dates,

@@ -131,7 +131,8 @@ def best_worst_flags(table, directions=None):
     never meet in one task. NULL is never marked; when all values are equal all are best.
     """
     directions = directions or METRIC_DIRECTION
-    values = table.unpivot("ticker", list(directions), "metrica", "valor")
+    values = table.select("ticker", F.inline(F.array(*[
+        F.struct(F.lit(m).alias("metrica"), F.col(m).cast("double").alias("valor")) for m in directions])))
     larger_is_better = F.col("metrica").isin([m for m, up in directions.items() if up])
     extremes = values.groupBy("metrica").agg(F.max("valor").alias("maior"), F.min("valor").alias("menor"))
     best = F.when(larger_is_better, F.col("maior")).otherwise(F.col("menor"))

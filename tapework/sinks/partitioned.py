@@ -6,21 +6,32 @@ from tapework.functions.scalar import partition_keys
 from tapework.schemas import DIVIDENDS, GRANULARITY, QUOTES
 
 
-def _write(df, path, date, columns):
+# A partition above this many rows is written by several tasks.
+MAX_ROWS_PER_TASK = 5_000_000
+# Small partitions one task writes one after the other.
+PARTITIONS_PER_TASK = 50
+
+
+def _write(df, path, date, columns, max_rows=MAX_ROWS_PER_TASK):
     """Replace the partitions ``df`` touches and leave the others; returns how many it touched.
 
-    The rebalance hint groups a partition's rows into few files, and AQE splits a partition that
-    holds far more rows than the others instead of sending it to one task.
+    Each partition goes whole to one task while all of them are small. Once one is large, the
+    rebalance hint lets AQE split it over tasks by size, whatever its rows look like.
     """
     keys = partition_keys(F.col(date))
     keyed = df.withColumns({c: keys[c] for c in columns})
-    touched = keyed.select(*columns).distinct().count()
-    if touched:
-        (
-            keyed.hint("rebalance", *[F.col(c) for c in columns])
-            .write.partitionBy(*columns).option("partitionOverwriteMode", "dynamic")
-            .mode("overwrite").option("compression", "snappy").parquet(path)
-        )
+    sizes = keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
+    touched, largest = sizes.agg(F.count(F.lit(1)), F.max("rows")).first()
+    if not touched:
+        return 0
+    if largest <= max_rows:
+        placed = keyed.repartition(-(-touched // PARTITIONS_PER_TASK), *columns)
+    else:
+        placed = keyed.hint("rebalance", *[F.col(c) for c in columns])
+    (
+        placed.write.partitionBy(*columns).option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite").option("compression", "snappy").parquet(path)
+    )
     return touched
 
 
