@@ -72,8 +72,9 @@ def percent(x, digits):
 
 
 def percent_text(x, digits=1):
-    """0.071 → '7.1%'; NULL → dash."""
-    return F.coalesce(F.format_string(f"%.{digits}f%%", x * 100), F.lit("—"))
+    """0.071 → '7.1%'; NULL or NaN → dash."""
+    absent = x.isNull() | F.isnan(x)
+    return F.when(absent, F.lit("—")).otherwise(F.format_string(f"%.{digits}f%%", x * 100))
 
 
 def with_suffix(ticker):

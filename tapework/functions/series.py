@@ -62,8 +62,9 @@ def rolling(df, w, position, means=None, deviations=None):
 
     ``means`` and ``deviations`` map a column to ``{result name: n}``. A sliding frame would visit n
     rows for every row. Here running totals are kept once, and a window is the difference of two
-    totals n rows apart, so the work per row does not depend on n. Values that are not finite stay
-    out of the totals; windows that hold one give NaN.
+    totals n rows apart, so the work per row does not depend on n; sums of whole numbers stay exact,
+    others are off by at most the rounding of the running total. Values that are not finite stay out
+    of the totals; windows that hold one give NaN.
     """
     means, deviations = means or {}, deviations or {}
     totals = {}
