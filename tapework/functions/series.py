@@ -79,28 +79,27 @@ def rolling(df, w, position, means=None, deviations=None):
             totals[f"_sqr_{name}"] = F.coalesce(F.sum(finite * finite).over(w.so_far), F.lit(0.0))
     df = df.withColumns(totals)
 
-    def in_window(total, n):
-        return F.col(total) - F.lag(total, n, 0).over(w.ordered)
-
     windows, results = {}, {}
     for name, lengths in [*means.items(), *deviations.items()]:
         for n in lengths.values():
             for kind in ("sum", "cnt", "sqr"):
-                if f"_{kind}_{name}" in totals:
-                    windows[f"_{kind}_{name}_{n}"] = in_window(f"_{kind}_{name}", n)
+                total = f"_{kind}_{name}"
+                if total in totals:
+                    windows[f"{total}_{n}"] = F.col(total) - F.lag(total, n, 0).over(w.ordered)
     df = df.withColumns(windows)
 
-    def guarded(name, n, value):
-        return F.when(F.col(f"_bad_{name}") > F.col(position) - n, F.lit(float("nan"))).otherwise(value)
-
     for name, lengths in means.items():
         for result, n in lengths.items():
-            mean = ratio(F.col(f"_sum_{name}_{n}"), F.col(f"_cnt_{name}_{n}"))
-            results[result] = guarded(name, n, mean)
+            results[result] = _unless_bad(name, n, position, f"try_divide(_sum_{name}_{n}, _cnt_{name}_{n})")
     for name, lengths in deviations.items():
         for result, n in lengths.items():
-            total, count = F.col(f"_sum_{name}_{n}"), F.col(f"_cnt_{name}_{n}")
-            spread = F.col(f"_sqr_{name}_{n}") - total * total / F.greatest(count, F.lit(1))
-            variance = F.greatest(spread, F.lit(0.0)) / F.greatest(count - 1, F.lit(1))
-            results[result] = F.when(count > 1, guarded(name, n, F.sqrt(variance)))
-    return df.withColumns(results).drop(*totals, *windows)
+            total, square, count = (f"_{kind}_{name}_{n}" for kind in ("sum", "sqr", "cnt"))
+            spread = f"greatest({square} - {total} * {total} / greatest({count}, 1), 0d)"
+            deviation = _unless_bad(name, n, position, f"sqrt({spread} / greatest({count} - 1, 1))")
+            results[result] = f"CASE WHEN {count} > 1 THEN {deviation} END"
+    kept = [c for c in df.columns if c not in totals and c not in windows]
+    return df.selectExpr(*kept, *[f"{value} AS {result}" for result, value in results.items()])
+
+
+def _unless_bad(name, n, position, value):
+    return f"CASE WHEN _bad_{name} > {position} - {n} THEN double('NaN') ELSE {value} END"
