@@ -89,10 +89,10 @@ def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_
                    parts=YIELD_PARTS):
     """Dividends of the trailing 365 days over the raw close; 0 when there are none.
 
-    Dividends are summed per company and day, repeated quotes collapse into one row with their
-    count, and both meet in one ordered window over blocks of days instead of a range join: an event
-    adds its amount on its day and takes it away 365 days later, so the trailing sum is a running
-    sum. An event is copied only into the blocks its 365 days touch.
+    Dividends are summed per company and day and meet the quotes in one ordered window over blocks
+    of days instead of a range join: an event adds its amount on its day and takes it away 365 days
+    later, so the trailing sum is a running sum. An event is copied only into the blocks its 365 days
+    touch. Repeated quotes form one row with the sum of all copies.
     """
     block = F.floor(F.col("day") / YIELD_BLOCK_DAYS)
     last_block = F.floor((F.col("day") + (YIELD_DAYS - 1)) / YIELD_BLOCK_DAYS)
@@ -106,26 +106,28 @@ def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_
         .withColumn("day", F.when(F.col("sign") > 0, F.col("day")).otherwise(F.col("day") + YIELD_DAYS))
     )
 
-    def collapsed(fact):
-        return (
-            with_date(fact, calendar)
-            .groupBy(*YIELD_KEYS[:3], F.col("fechamento").alias("fechamento_bruto"))
-            .agg(F.count(F.lit(1)).alias("copies"))
-            .withColumn("day", F.unix_date("data"))
-            .withColumn("block", block)
-        )
+    def placed(fact):
+        dated = with_date(fact, calendar).withColumnRenamed("fechamento", "fechamento_bruto")
+        return dated.withColumn("day", F.unix_date("data")).withColumn("block", block)
 
     columns = quotes_fact.select("empresa_id", "tempo_id", "fechamento")
     ordinary, hot = split_hot(columns, "empresa_id", max_rows)
-    result = _trailing_sum(collapsed(ordinary), events, ["empresa_id", "block"])
+    group = ["empresa_id", "block"]
+    # copies are few here and merge after the window, in the partitions it already has
+    single = placed(ordinary).withColumn("copies", F.lit(1))
+    result = _trailing_sum(single, events, group).groupBy(*YIELD_KEYS, "block").agg(
+        F.sum("dividendos_12m").alias("dividendos_12m")).drop("block")
     if hot is not None:
-        # quotes do not depend on each other: spread them and give each part all the events
-        spread = collapsed(hot).withColumn("part", F.pmod(F.xxhash64(*YIELD_KEYS), F.lit(parts)).cast("int"))
+        # copies collapse before the shuffle; the other quotes do not depend on each other, so they
+        # are spread over parts that each get all the events
+        spread = (
+            placed(hot).groupBy(*YIELD_KEYS, "day", "block").agg(F.count(F.lit(1)).alias("copies"))
+            .withColumn("part", F.pmod(F.xxhash64(*YIELD_KEYS), F.lit(parts)).cast("int"))
+        )
         copied = events.join(hot.select("empresa_id").distinct(), "empresa_id", "left_semi").withColumn(
             "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        result = result.unionByName(_trailing_sum(spread, copied, ["empresa_id", "block", "part"]))
-    yields = ratio(F.col("dividendos_12m"), F.col("fechamento_bruto"))
-    return result.withColumn("dy_12m", yields)
+        result = result.unionByName(_trailing_sum(spread, copied, [*group, "part"]).drop("block"))
+    return result.withColumn("dy_12m", ratio(F.col("dividendos_12m"), F.col("fechamento_bruto")))
 
 
 def _trailing_sum(quotes, events, group):
@@ -138,7 +140,7 @@ def _trailing_sum(quotes, events, group):
     return (
         merged.withColumn("dividendos_12m", total * F.col("copies"))
         .where(F.col("copies").isNotNull())
-        .select(*YIELD_KEYS, "dividendos_12m")
+        .select(*YIELD_KEYS, "block", "dividendos_12m")
     )
 
 

@@ -36,10 +36,14 @@ def amplitude_matrix(raw, years):
 
 
 def sector_volume(raw, sectors):
-    """Mean of all known volumes per sector and month (not a mean of ticker means)."""
+    """Mean of all known volumes per sector and month (not a mean of ticker means); rows are added up
+    per ticker before they meet the sectors."""
+    per_ticker = raw.where(F.col("volume").isNotNull()).groupBy("ticker", "ano", "mes").agg(
+        F.sum(F.col("volume").cast("double")).alias("total"), F.count(F.lit(1)).alias("n"))
+    mean = F.sum("total") / F.sum("n")
     return (
-        with_company(raw.where(F.col("volume").isNotNull()), sectors, "setor")
-        .groupBy("setor", "ano", "mes").agg(F.avg("volume").alias("volume_medio"))
+        with_company(per_ticker, sectors, "setor")
+        .groupBy("setor", "ano", "mes").agg(mean.alias("volume_medio"))
         .orderBy(F.asc_nulls_last("setor"), F.asc_nulls_last("ano"), F.asc_nulls_last("mes"))
     )
 

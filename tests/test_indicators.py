@@ -238,6 +238,8 @@ def test_no_frame_grows_with_the_window_length(spark, price_series):
     assert "RowFrame, -6, currentrow" not in text and "RowFrame, -251, currentrow" not in text
 
 
-def test_yield_has_no_nested_loop_join(spark, calendar):
+def test_yield_shuffles_quotes_once_and_has_no_nested_loop_join(spark, calendar):
     text = plan(yields(spark, calendar, [(1, 20200615, 1.0)], [(1, 20200614, 1.0)]))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
+    # dividends per day, then quotes and dividends together
+    assert text.count("Exchange hashpartitioning") == 2
