@@ -57,42 +57,55 @@ def window_fill(n, position):
     return F.least(F.col(position), F.lit(n)).cast("long")
 
 
+# Values are split at this step: totals of its multiples are exact while they stay below 2**43.
+TOTAL_STEP = 2.0**-10
+
+
 def rolling(df, w, position, means=None, deviations=None):
     """Averages and sample standard deviations over the last n rows, NULL values skipped.
 
     ``means`` and ``deviations`` map a column to ``{result name: n}``. A sliding frame would visit n
     rows for every row. Here running totals are kept once, and a window is the difference of two
-    totals n rows apart, so the work per row does not depend on n; sums of whole numbers stay exact,
-    others are off by at most the rounding of the running total. Values that are not finite stay out
-    of the totals; windows that hold one give NaN.
+    totals n rows apart, so the work per row does not depend on n. Averaged values are split into a
+    multiple of ``TOTAL_STEP``, whose totals are exact, and a small rest, so that large values early
+    in a series cost the later windows no digits. Values that are not finite stay out of the totals;
+    windows that hold one give NaN.
     """
     means, deviations = means or {}, deviations or {}
-    totals = {}
+    totals, lengths = {}, {}
     for name in dict.fromkeys([*means, *deviations]):
         value = F.col(name)
         finite = F.when(F.abs(value) < F.lit(float("inf")), value)
-        totals[f"_sum_{name}"] = F.coalesce(F.sum(finite).over(w.so_far), F.lit(0.0))
-        totals[f"_cnt_{name}"] = F.count(value).over(w.so_far)
-        totals[f"_bad_{name}"] = F.max(
-            F.when(value.isNotNull() & finite.isNull(), F.col(position))).over(w.so_far)
+        step = F.rint(finite / TOTAL_STEP) * TOTAL_STEP
+        summed = {"cnt": F.count(value)}
+        if name in means:
+            summed |= {"whole": F.sum(step), "rest": F.sum(finite - step)}
         if name in deviations:
-            totals[f"_sqr_{name}"] = F.coalesce(F.sum(finite * finite).over(w.so_far), F.lit(0.0))
+            summed |= {"sum": F.sum(finite), "sqr": F.sum(finite * finite)}
+        for kind, total in summed.items():
+            totals[f"_{kind}_{name}"] = F.coalesce(total.over(w.so_far), F.lit(0))
+        not_finite = value.isNotNull() & finite.isNull()
+        totals[f"_bad_{name}"] = F.max(F.when(not_finite, F.col(position))).over(w.so_far)
+        lengths[name] = {
+            **{(kind, n): f"_{kind}_{name}" for kind in ("cnt", "whole", "rest")
+               for n in means.get(name, {}).values()},
+            **{(kind, n): f"_{kind}_{name}" for kind in ("cnt", "sum", "sqr")
+               for n in deviations.get(name, {}).values()},
+        }
     df = df.withColumns(totals)
 
     windows, results = {}, {}
-    for name, lengths in [*means.items(), *deviations.items()]:
-        for n in lengths.values():
-            for kind in ("sum", "cnt", "sqr"):
-                total = f"_{kind}_{name}"
-                if total in totals:
-                    windows[f"{total}_{n}"] = F.col(total) - F.lag(total, n, 0).over(w.ordered)
+    for wanted in lengths.values():
+        for (_, n), total in wanted.items():
+            windows[f"{total}_{n}"] = F.col(total) - F.lag(total, n, 0).over(w.ordered)
     df = df.withColumns(windows)
 
-    for name, lengths in means.items():
-        for result, n in lengths.items():
-            results[result] = _unless_bad(name, n, position, f"try_divide(_sum_{name}_{n}, _cnt_{name}_{n})")
-    for name, lengths in deviations.items():
-        for result, n in lengths.items():
+    for name, wanted in means.items():
+        for result, n in wanted.items():
+            whole, rest, count = (f"_{kind}_{name}_{n}" for kind in ("whole", "rest", "cnt"))
+            results[result] = _unless_bad(name, n, position, f"try_divide({whole} + {rest}, {count})")
+    for name, wanted in deviations.items():
+        for result, n in wanted.items():
             total, square, count = (f"_{kind}_{name}_{n}" for kind in ("sum", "sqr", "cnt"))
             spread = f"greatest({square} - {total} * {total} / greatest({count}, 1), 0d)"
             deviation = _unless_bad(name, n, position, f"sqrt({spread} / greatest({count} - 1, 1))")

@@ -12,11 +12,12 @@ MAX_ROWS_ONE_TASK = 1_000_000
 
 
 def number_rows(df, order, name, max_rows=MAX_ROWS_ONE_TASK):
-    """Dense 1-based row number over the order of column ``order`` (unique by contract).
+    """Dense 1-based row number over the order of column ``order`` (unique by contract, NULL last).
 
     Up to ``max_rows`` rows one task numbers them. Beyond that the sorted rows are written once, each
     with its place inside its sorted part, and parts are shifted by the rows before them.
     """
+    order = F.col(order).asc_nulls_last()
     if df.count() <= max_rows:
         return df.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long"))
     place = F.monotonically_increasing_id()

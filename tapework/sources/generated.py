@@ -11,7 +11,7 @@ def calendar_days(spark, start, end):
     days = (end - start).days + 1
     if not 0 < days <= MAX_CALENDAR_DAYS:
         raise ValueError(f"calendar {start}..{end} spans {days} days")
-    bounds = spark.range(1).select(F.lit(start).alias("first"), F.lit(end).alias("last"))
+    bounds = spark.range(0, 1, 1, 1).select(F.lit(start).alias("first"), F.lit(end).alias("last"))
     return days_between(bounds, "first", "last")
 
 

@@ -94,6 +94,15 @@ def test_values_that_are_not_finite_stay_inside_their_windows(spark):
     assert math.isnan(got[20].volatilidade_30d) and not math.isnan(got[40].volatilidade_30d)
 
 
+def test_large_early_prices_cost_later_averages_no_digits(spark):
+    day = dt.date(2010, 1, 1)
+    prices = [9e7 + i / 7 for i in range(300)] + [1.1 + i / 1000 for i in range(300)]
+    rows = [(1, i, day + dt.timedelta(i), p, 1) for i, p in enumerate(prices)]
+    last = indicators_of(spark.createDataFrame(rows, BASE)).orderBy("data").collect()[-1]
+    assert last.media_movel_7d == pytest.approx(sum(prices[-7:]) / 7, rel=1e-13)
+    assert last.media_movel_200d == pytest.approx(sum(prices[-200:]) / 200, rel=1e-13)
+
+
 def test_zero_price_gives_null_log_and_return(spark):
     day = dt.date(2020, 1, 1)
     rows = [(1, i, day + dt.timedelta(i), p, 1) for i, p in enumerate([10.0, 0.0, 5.0])]
