@@ -434,7 +434,7 @@ def daily_run(spark, d):
     market.nation_companies(spark, d).write.csv(seed, header=True, quoteAll=True, escape='"')
     run = loads.DailyRun(
         fresh_path(spark, "run"), seed, ticker_list(spark, d), market.CALENDAR_START, market.CALENDAR_END,
-        granularity="month", layers=("staging", "marts"))
+        granularity="month", layers=("staging", f"marts_{uuid.uuid4().hex[:8]}"))
     quotes = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
     dividends = stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing")
     loads.load_quotes(quotes, run.quotes_path, "range", TODAY, market.CALENDAR_START, TODAY, "month")

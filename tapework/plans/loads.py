@@ -1,7 +1,7 @@
 """Load modes of the raw layer and the daily run over all layers."""
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import functions as F
 
@@ -61,7 +61,7 @@ class DailyRun:
     calendar_start: dt.date
     calendar_end: dt.date
     granularity: str = "day"
-    layers: tuple = field(default=("staging", "marts"))
+    layers: tuple = ("staging", "marts")
 
     @property
     def quotes_path(self):
@@ -81,22 +81,19 @@ def run_daily(spark, run, quotes_source, dividends_source, today):
 
 def refresh(spark, run):
     """Rebuild staging and marts from the raw layer and return the check report."""
+    staging, marts = run.layers
+    for layer in run.layers:
+        create_layer(spark, layer, run.root)
     warehouse = Warehouse(
         read_raw_quotes(spark, run.quotes_path, run.granularity),
         read_raw_dividends(spark, run.dividends_path),
         read_companies(spark, run.companies_csv),
         calendar_days(spark, run.calendar_start, run.calendar_end),
+        write=lambda df, name: materialize(df, marts, name, "table", run.root),
     )
     tables = warehouse.written()
-    for layer in run.layers:
-        create_layer(spark, layer, run.root)
-    for name, df in tables.items():
-        if name.startswith("stg_"):
-            materialize(df, "staging", name, "view")
-        elif name == "fato_dividendos":
-            materialize(df, "marts", name, "view")
-        else:
-            materialize(df, "marts", name, "table", run.root)
+    for layer, name in ((staging, "stg_cotacoes"), (staging, "stg_dividendos"), (marts, "fato_dividendos")):
+        materialize(tables[name], layer, name, "view")
     report = stage_table(quality.run_checks(tables, run.tickers), "checks")
     # the report holds one row per declared check
     failed = [r.teste for r in report.where(~F.col("aprovado")).collect()]

@@ -10,16 +10,18 @@ from tapework.session import stage_table
 class Warehouse:
     """Lazily composed models over one set of raw tables.
 
-    Staging, dimensions and the dividend fact are views. The quote fact is written once, because
-    several plans read it; marts are written only where a caller reads them more than once.
+    Staging and the dividend fact are views. The quote fact is written once, because several plans
+    read it; dimensions and marts are written where a caller reads them more than once. ``write``
+    takes a DataFrame and a model name and returns the written table.
     """
 
-    def __init__(self, quotes, dividends, companies, days, max_rows=MAX_ROWS_PER_KEY):
+    def __init__(self, quotes, dividends, companies, days, max_rows=MAX_ROWS_PER_KEY, write=stage_table):
         self.raw_quotes = quotes
         self.raw_dividends = dividends
         self.companies = companies
         self.days = days
         self.max_rows = max_rows
+        self.write = write
 
     @cached_property
     def stg_quotes(self):
@@ -44,7 +46,7 @@ class Warehouse:
 
     @cached_property
     def quotes(self):
-        return stage_table(self.quotes_view, "fato_cotacoes_diarias")
+        return self.write(self.quotes_view, "fato_cotacoes_diarias")
 
     @cached_property
     def dividends(self):
@@ -56,7 +58,7 @@ class Warehouse:
 
     @cached_property
     def daily_table(self):
-        return stage_table(self.daily, "mart_indicadores_diarios")
+        return self.write(self.daily, "mart_indicadores_diarios")
 
     @cached_property
     def summary(self):
@@ -68,22 +70,22 @@ class Warehouse:
 
     @cached_property
     def yields_table(self):
-        return stage_table(self.yields, "mart_dividend_yield")
+        return self.write(self.yields, "mart_dividend_yield")
 
     def written(self):
-        """All models by name; facts and marts are written, staging and dividend fact stay views."""
-        company = stage_table(self.company, "dim_empresa")
-        daily = self.daily_table
+        """All models by name; dimensions, quote fact and marts are written, each once."""
+        self.company = self.write(self.company, "dim_empresa")
+        self.calendar = self.write(self.calendar, "dim_tempo")
+        summary = indicators.indicator_summary(self.daily_table, self.company)
         return {
             "stg_cotacoes": self.stg_quotes,
             "stg_dividendos": self.stg_dividends,
-            "dim_empresa": company,
+            "dim_empresa": self.company,
             "dim_tempo": self.calendar,
             "fato_cotacoes_diarias": self.quotes,
             "fato_dividendos": self.dividends,
-            "mart_indicadores_diarios": daily,
-            "mart_indicadores_resumo": stage_table(
-                indicators.indicator_summary(daily, company), "mart_indicadores_resumo"),
+            "mart_indicadores_diarios": self.daily_table,
+            "mart_indicadores_resumo": self.write(summary, "mart_indicadores_resumo"),
             "mart_dividend_yield": self.yields_table,
         }
 

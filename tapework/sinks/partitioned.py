@@ -1,5 +1,7 @@
 """Idempotent partition writes of the raw layer."""
 
+import math
+
 from pyspark.sql import functions as F
 
 from tapework.functions.scalar import partition_keys
@@ -21,11 +23,12 @@ def _write(df, path, date, columns, max_rows=MAX_ROWS_PER_TASK):
     keys = partition_keys(F.col(date))
     keyed = df.withColumns({c: keys[c] for c in columns})
     sizes = keyed.groupBy(*columns).agg(F.count(F.lit(1)).alias("rows"))
-    touched, largest = sizes.agg(F.count(F.lit(1)), F.max("rows")).first()
+    touched, largest, rows = sizes.agg(F.count(F.lit(1)), F.max("rows"), F.sum("rows")).first()
     if not touched:
         return 0
     if largest <= max_rows:
-        placed = keyed.repartition(-(-touched // PARTITIONS_PER_TASK), *columns)
+        tasks = max(math.ceil(touched / PARTITIONS_PER_TASK), math.ceil(rows / max_rows))
+        placed = keyed.repartition(tasks, *columns)
     else:
         placed = keyed.hint("rebalance", *[F.col(c) for c in columns])
     (

@@ -109,7 +109,7 @@ def nation_dividends(spark, sf_dir):
 
 
 def _part_ticker(key):
-    return F.format_string("P%012d", F.col(key))
+    return F.concat(F.lit("P"), F.lpad(F.col(key).cast("string"), 12, "0"))
 
 
 def part_companies(spark, sf_dir):
