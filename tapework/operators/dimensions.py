@@ -32,7 +32,7 @@ def number_rows(df, order, name, max_rows=MAX_ROWS_ONE_TASK):
     shifts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
         "_part", F.coalesce(before, F.lit(0)).alias("_shift"))
     return (
-        placed.join(shifts, "_part")
+        placed.join(F.broadcast(shifts), "_part")
         .withColumn(name, F.col("_shift") + F.col("_place") + 1)
         .select(*df.columns, name)
     )

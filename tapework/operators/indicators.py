@@ -16,8 +16,6 @@ YIELD_DAYS = 365
 
 # Days per block of the trailing sum; longer than the window so that an event reaches two blocks.
 YIELD_BLOCK_DAYS = 1461
-# Parts that the quotes of a hot company are spread over inside one block.
-YIELD_PARTS = 256
 
 PRICE = "fechamento_ajustado"
 YIELD_KEYS = ["empresa_id", "tempo_id", "data", "fechamento_bruto"]
@@ -85,8 +83,7 @@ def indicator_summary(daily, company):
         "empresa_id", "ticker", *grouped.columns[1:])
 
 
-def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_KEY,
-                   parts=YIELD_PARTS):
+def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_KEY):
     """Dividends of the trailing 365 days over the raw close; 0 when there are none.
 
     Dividends are summed per company and day and meet the quotes in one ordered window over blocks
@@ -111,7 +108,7 @@ def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_
         return dated.withColumn("day", F.unix_date("data")).withColumn("block", block)
 
     columns = quotes_fact.select("empresa_id", "tempo_id", "fechamento")
-    ordinary, hot = split_hot(columns, "empresa_id", max_rows)
+    ordinary, hot, hot_ids = split_hot(columns, "empresa_id", max_rows)
     group = ["empresa_id", "block"]
     # copies are few here and merge after the window, in the partitions it already has
     single = placed(ordinary).withColumn("copies", F.lit(1))
@@ -119,13 +116,13 @@ def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_
         F.sum("dividendos_12m").alias("dividendos_12m")).drop("block")
     if hot is not None:
         # copies collapse before the shuffle; the other quotes do not depend on each other, so they
-        # are spread over parts that each get all the events
-        spread = (
-            placed(hot).groupBy(*YIELD_KEYS, "day", "block").agg(F.count(F.lit(1)).alias("copies"))
-            .withColumn("part", F.pmod(F.xxhash64(*YIELD_KEYS), F.lit(parts)).cast("int"))
-        )
-        copied = events.join(hot.select("empresa_id").distinct(), "empresa_id", "left_semi").withColumn(
-            "part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        # are spread over as many parts as the company needs, and each part gets all the events
+        parts = hot_ids.select("empresa_id", F.ceil(F.col("_rows") / max_rows).alias("parts"))
+        collapsed = placed(hot).groupBy(*YIELD_KEYS, "day", "block").agg(F.count(F.lit(1)).alias("copies"))
+        spread = collapsed.join(parts, "empresa_id").withColumn(
+            "part", F.pmod(F.xxhash64(*YIELD_KEYS), F.col("parts"))).drop("parts")
+        copied = events.join(parts, "empresa_id").withColumn(
+            "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).drop("parts")
         result = result.unionByName(_trailing_sum(spread, copied, [*group, "part"]).drop("block"))
     return result.withColumn("dy_12m", ratio(F.col("dividendos_12m"), F.col("fechamento_bruto")))
 

@@ -34,13 +34,14 @@ def hot_keys(df, key, max_rows):
 
 
 def split_hot(df, key, max_rows):
-    """(rows of ordinary keys, rows of hot keys); the second is None when there are none."""
+    """(rows of ordinary keys, rows of hot keys, hot keys with their count in ``_rows``); the last two
+    are None when no key is hot."""
     hot = hot_keys(df, key, max_rows)
     if hot.isEmpty():
-        return df, None
-    hot = stage_table(hot.select(key), "hot-keys")
+        return df, None, None
+    hot = stage_table(hot, "hot-keys")
     match = df[key].eqNullSafe(hot[key])
-    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi")
+    return df.join(hot, match, "left_anti"), df.join(hot, match, "left_semi"), hot
 
 
 def over_series(df, build, *, key, date, halo, carry=(), max_rows=MAX_ROWS_PER_KEY):
@@ -49,7 +50,7 @@ def over_series(df, build, *, key, date, halo, carry=(), max_rows=MAX_ROWS_PER_K
     ``halo`` is how many earlier rows a result row may look at; ``carry`` names the columns whose
     first value and running maximum over the whole series ``build`` asks the window for.
     """
-    ordinary, hot = split_hot(df, key, max_rows)
+    ordinary, hot, _ = split_hot(df, key, max_rows)
     whole = build(ordinary, SeriesWindow([key], [F.col(date).asc_nulls_last()]))
     if hot is None:
         return whole

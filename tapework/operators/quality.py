@@ -29,7 +29,7 @@ def accepted_values(df, column, values):
 
 def relationships(child, column, parent, parent_column):
     """Child rows whose key has no parent; NULL keys are not compared."""
-    keys = parent.select(F.col(parent_column).alias(column))
+    keys = parent.select(F.col(parent_column).alias(column)).distinct()
     return child.where(F.col(column).isNotNull()).join(keys, column, "left_anti")
 
 

@@ -123,7 +123,7 @@ def test_hot_key_is_split_and_whole(spark, days):
         "empresa_id", F.col("id").cast("int").alias("tempo_id"), day.alias("data"),
         (F.pmod(F.hash("id"), F.lit(90)) + 10).cast("double").alias("fechamento_ajustado"),
         F.lit(1).cast("long").alias("volume"))
-    _, hot = layout.split_hot(df, "empresa_id", 1000)
+    _, hot, _ = layout.split_hot(df, "empresa_id", 1000)
     blocks = layout.split_series(hot, key="empresa_id", date="data", halo=253,
                                  carry=("fechamento_ajustado",), block_rows=1000)
     sizes = blocks.groupBy("_block").agg(F.count(F.lit(1)).alias("n"), F.count_if("_own").alias("own")).collect()
@@ -220,7 +220,7 @@ def test_yield_equals_range_join(spark, calendar, max_rows):
         for _ in range(30):
             events.append((company, key(start + dt.timedelta(rng.randrange(1200))), rng.randrange(1, 500) / 4))
     quotes += quotes[:50]
-    got = yields(spark, calendar, quotes, events, max_rows=max_rows, parts=7)
+    got = yields(spark, calendar, quotes, events, max_rows=max_rows)
     want = indicators.dividend_yield_by_join(
         spark.createDataFrame(quotes, QUOTE), spark.createDataFrame(events, EVENT), calendar)
     want = want.select(got.columns)
