@@ -13,9 +13,9 @@ from tapework.session import stage_table
 
 # Rows of one key that a single task may sort and scan.
 MAX_ROWS_PER_KEY = 200_000
-# Hash slices that rows of one day are cut into when a key is split.
-DAY_SLICES = 64
-_FAR_DAY = 2**31 - 1
+# Numbers left between two days for the slices of one day; rows without a date come last.
+_DAY_STEP = 2**31
+_NO_DAY = 2**31 - 1
 
 
 class BlockWindow(SeriesWindow):
@@ -65,13 +65,25 @@ def split_series(df, *, key, date, halo, carry, block_rows):
 
     Adds ``_block``; ``_own`` (false on the copies of the ``halo`` earlier rows that the next block
     needs); ``_slice`` and ``_row``, the order inside a series; and for each carry column the first
-    value and the maximum over all earlier slices. Rows of one day have no order of their own, so a
-    stored row number settles it, and a day with very many rows is cut as well.
+    value and the maximum over all earlier slices. A slice is a day, or a hash part of a day that
+    holds more than ``block_rows`` rows: rows of one day have no order of their own, so a stored row
+    number settles it.
     """
-    day = F.coalesce(F.unix_date(F.col(date)), F.lit(_FAR_DAY)).cast("long")
-    numbered = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "series")
-    sliced = numbered.withColumn(
-        "_slice", day * DAY_SLICES + F.pmod(F.xxhash64("_row"), F.lit(DAY_SLICES)))
+    numbered = stage_table(df.withColumn("_row", F.monotonically_increasing_id()), "series").withColumn(
+        "_day", F.coalesce(F.unix_date(F.col(date)), F.lit(_NO_DAY)).cast("long"))
+    # at most rows / block_rows of them
+    full_days = (
+        numbered.groupBy(F.col(key).alias("_key"), F.col("_day").alias("_full"))
+        .agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > block_rows)
+        .select("_key", "_full", F.ceil(F.col("_n") / block_rows).alias("_parts"))
+    )
+    same_day = F.col(key).eqNullSafe(F.col("_key")) & (F.col("_day") == F.col("_full"))
+    part = F.pmod(F.xxhash64("_row"), F.coalesce(F.col("_parts"), F.lit(1)))
+    sliced = (
+        numbered.join(full_days, same_day, "left")
+        .withColumn("_slice", F.col("_day") * _DAY_STEP + part)
+        .drop("_key", "_full", "_parts", "_day")
+    )
 
     per_slice = sliced.groupBy(key, "_slice").agg(
         F.count(F.lit(1)).alias("_n"),
