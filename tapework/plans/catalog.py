@@ -15,9 +15,7 @@ from tapework.operators import facts, indicators, quality, sets, staging
 from tapework.operators.dimensions import dim_calendar, dim_company
 from tapework.plans import exploratory, loads, reports
 from tapework.plans.warehouse import Warehouse
-from tapework.schemas import (
-    DIVIDENDS, EXCHANGE_ZONE, PRICE_COLUMNS, QUOTES, VENDOR_METRICS, empty,
-)
+from tapework.schemas import DIVIDENDS, EXCHANGE_ZONE, PRICE_COLUMNS, QUOTES, VENDOR_METRICS
 from tapework.session import fresh_path, stage_table
 from tapework.sinks.layers import create_layer, materialize
 from tapework.sinks.partitioned import write_dividends, write_quotes
@@ -26,9 +24,7 @@ from tapework.sources.generated import calendar_days, days_between, literal_mapp
 from tapework.sources.raw import (
     read_companies, read_raw_dividends, read_raw_quotes, with_partition_bounds,
 )
-from tapework.sources.vendor import (
-    local_date, normalize_vendor_bars, normalize_vendor_dividends, wide_column,
-)
+from tapework.sources.vendor import normalize_vendor_bars, normalize_vendor_dividends, wide_column
 
 TICKER = "NATION_13"
 START, END = dt.date(1997, 1, 1), dt.date(1998, 12, 31)
@@ -103,7 +99,7 @@ def vendor_bars(spark, d):
 
 
 def vendor_bars_flat(spark, d):
-    """Flat single-ticker form over all quotes, taken as one instrument per day: the daily total."""
+    """Flat single-ticker form over all quotes, taken as one instrument: the largest value per day."""
     daily = market.nation_quotes(spark, d).groupBy("data").agg(
         *[F.max(c).alias(m) for m, c in VENDOR_METRICS.items()])
     return normalize_vendor_bars(daily.withColumnRenamed("data", "Date"), ["WORLD"])
