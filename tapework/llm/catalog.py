@@ -2,10 +2,26 @@
 
 from pyspark.sql import functions as F
 
-from tapework.llm import packing, topk, warc
+from tapework.llm import jaccard_join, mixing, packing, quality, topk, warc
 from tapework.llm.common import read
 
 
+#: Wanted token shares of the domains 2 * quality + toxic, and the wanted tokens as a multiple of the present ones.
+MIX_TARGETS = {0: 0.04, 1: 0.01, 2: 0.90, 3: 0.05}
+MIX_TOTAL = 1.1
+
+
+def op2_quality(spark, sf_dir):
+    """Quality score of every document. Learnt weights have no SQL: tested by held-out accuracy."""
+    docs = read(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
+
+
+def op5_jaccard_join(spark, sf_dir):
+    """Class and number of links of every document. Pairs by SQL are too many: tested against brute force."""
+    return jaccard_join.join(read(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark, sf_dir):
     """Archives of all pages, written and read back."""
     rows = warc.round_trip(read(spark, sf_dir, "pages"), with_payload=False)
@@ -23,7 +39,19 @@ def op8_topk(spark, sf_dir):
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 100 == 0), k=10)
 
 
-QUERIES = {"op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk}
+def domains(labels):
+    """Labelled domains of documents: 2 * quality + toxic."""
+    return labels.select("doc_id", (2 * F.col("quality") + F.col("toxic")).alias("domain"))
+
+
+def op9_mixing(spark, sf_dir):
+    """Posteriors and rate of every document. Iterative, so no SQL: tested by its totals and against a direct solver."""
+    docs = read(spark, sf_dir, "documents")
+    model = mixing.train(docs, domains(read(spark, sf_dir, "labels")), "domain")
+    return mixing.mix(docs, model, MIX_TARGETS, total=MIX_TOTAL)
+
+
+QUERIES = {"op2_quality": op2_quality, "op5_jaccard_join": op5_jaccard_join, "op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk, "op9_mixing": op9_mixing}
 
 OP6 = """
 WITH p AS (

@@ -2,6 +2,8 @@
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tapework.session import stage_table
@@ -21,6 +23,31 @@ def parts_for(rows, rows_per_part, least=1):
     return max(least, math.ceil(rows / rows_per_part))
 
 
+def whole_groups(batches, keys):
+    """Tables of whole groups from batches sorted by ``keys``: what a batch leaves open waits for the next."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        change = np.zeros(batch.num_rows, bool)
+        fresh = not held
+        for k in keys:
+            x = batch.column(k).to_numpy(zero_copy_only=False)
+            change[1:] |= x[1:] != x[:-1]
+            fresh = fresh or held[-1].column(k)[-1].as_py() != x[0]
+        change[0] = fresh
+        at = np.flatnonzero(change)
+        if len(at):
+            last = int(at[-1])
+            if held or last:
+                yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def components(edges, label="components", node_type="long"):
     """Connected components of ``edges(a, b)``: ``(node, component)``, the least node of each.
 
