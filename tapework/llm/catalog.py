@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tapework.llm import jaccard_join, mixing, packing, quality, topk, warc
+from tapework.llm import jaccard_join, mixing, packing, pii, quality, secrets, suffix_dedup, topk, warc
 from tapework.llm.common import read
 
 
@@ -17,6 +17,17 @@ def op2_quality(spark, sf_dir):
     return quality.score(docs, quality.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op3_suffix_dedup(spark, sf_dir):
+    """Passages of 50 words and more that documents share. Tested against brute force: SQL would list all 50-grams."""
+    return suffix_dedup.repeated_passages(read(spark, sf_dir, "documents"))
+
+
+def op4_secrets(spark, sf_dir):
+    """Secrets of every document. Tested against plain regular expressions and labelled strings."""
+    docs = read(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(secrets.labelled_tokens(docs)))
+
+
 def op5_jaccard_join(spark, sf_dir):
     """Class and number of links of every document. Pairs by SQL are too many: tested against brute force."""
     return jaccard_join.join(read(spark, sf_dir, "documents"))
@@ -51,7 +62,13 @@ def op9_mixing(spark, sf_dir):
     return mixing.mix(docs, model, MIX_TARGETS, total=MIX_TOTAL)
 
 
-QUERIES = {"op2_quality": op2_quality, "op5_jaccard_join": op5_jaccard_join, "op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk, "op9_mixing": op9_mixing}
+def op10_pii(spark, sf_dir):
+    """Personal data of every document. Tested against plain regular expressions and held-out spans."""
+    docs = read(spark, sf_dir, "documents")
+    return pii.scan(docs, pii.train(docs))
+
+
+QUERIES = {"op2_quality": op2_quality, "op3_suffix_dedup": op3_suffix_dedup, "op4_secrets": op4_secrets, "op5_jaccard_join": op5_jaccard_join, "op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk, "op9_mixing": op9_mixing, "op10_pii": op10_pii}
 
 OP6 = """
 WITH p AS (
