@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tapework.llm import jaccard_join, mixing, packing, pii, quality, secrets, suffix_dedup, topk, warc
+from tapework.llm import fingerprints, jaccard_join, mixing, packing, pii, quality, secrets, suffix_dedup, topk, warc
 from tapework.llm.common import read
 
 
@@ -11,6 +11,11 @@ MIX_TARGETS = {0: 0.04, 1: 0.01, 2: 0.90, 3: 0.05}
 MIX_TOTAL = 1.1
 
 
+def op1_fingerprints(spark, sf_dir):
+    """Fingerprints of every document and its edited text. Tested against exact generalised Jaccard similarities."""
+    return fingerprints.with_edits(read(spark, sf_dir, "documents"))
+
+
 def op2_quality(spark, sf_dir):
     """Quality score of every document. Learnt weights have no SQL: tested by held-out accuracy."""
     docs = read(spark, sf_dir, "documents")
@@ -68,7 +73,7 @@ def op10_pii(spark, sf_dir):
     return pii.scan(docs, pii.train(docs))
 
 
-QUERIES = {"op2_quality": op2_quality, "op3_suffix_dedup": op3_suffix_dedup, "op4_secrets": op4_secrets, "op5_jaccard_join": op5_jaccard_join, "op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk, "op9_mixing": op9_mixing, "op10_pii": op10_pii}
+QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_quality": op2_quality, "op3_suffix_dedup": op3_suffix_dedup, "op4_secrets": op4_secrets, "op5_jaccard_join": op5_jaccard_join, "op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk, "op9_mixing": op9_mixing, "op10_pii": op10_pii}
 
 OP6 = """
 WITH p AS (
