@@ -64,55 +64,35 @@ TOTAL_STEP = 2.0**-10
 def rolling(df, w, position, means=None, deviations=None):
     """Averages and sample standard deviations over the last n rows, NULL values skipped.
 
-    ``means`` and ``deviations`` map a column to ``{result name: n}``. A sliding frame would visit n
-    rows for every row. Here running totals are kept once, and a window is the difference of two
-    totals n rows apart, so the work per row does not depend on n. Averaged values are split into a
-    multiple of ``TOTAL_STEP``, whose totals are exact, and a small rest, so that large values early
-    in a series cost the later windows no digits. Values that are not finite stay out of the totals;
-    windows that hold one give NaN.
+    ``means`` and ``deviations`` map a column to ``{result name: n}``. Averages are the difference of two running
+    totals n rows apart, so their work per row does not depend on n. Values are split into a multiple of
+    ``TOTAL_STEP``, whose totals are exact, and a small rest, so that large values early in a series cost the later
+    windows no digits; values that are not finite stay out of the totals, and windows that hold one give NaN.
+    Deviations are taken over the row frame itself: no total that forgets by subtraction could be trusted there,
+    and n is a constant.
     """
     means, deviations = means or {}, deviations or {}
+    df = df.withColumns({
+        result: F.stddev_samp(name).over(w.last_rows(n)) for name, wanted in deviations.items() for result, n in wanted.items()})
     totals, lengths = {}, {}
-    for name in dict.fromkeys([*means, *deviations]):
+    for name, wanted in means.items():
         value = F.col(name)
         finite = F.when(F.abs(value) < F.lit(float("inf")), value)
         step = F.rint(finite / TOTAL_STEP) * TOTAL_STEP
-        summed = {"cnt": F.count(value)}
-        if name in means:
-            summed |= {"whole": F.sum(step), "rest": F.sum(finite - step)}
-        if name in deviations:
-            summed |= {"sum": F.sum(finite), "sqr": F.sum(finite * finite)}
+        summed = {"cnt": F.count(value), "whole": F.sum(step), "rest": F.sum(finite - step)}
         for kind, total in summed.items():
             totals[f"_{kind}_{name}"] = F.coalesce(total.over(w.so_far), F.lit(0))
         not_finite = value.isNotNull() & finite.isNull()
         totals[f"_bad_{name}"] = F.max(F.when(not_finite, F.col(position))).over(w.so_far)
-        lengths[name] = {
-            **{(kind, n): f"_{kind}_{name}" for kind in ("cnt", "whole", "rest")
-               for n in means.get(name, {}).values()},
-            **{(kind, n): f"_{kind}_{name}" for kind in ("cnt", "sum", "sqr")
-               for n in deviations.get(name, {}).values()},
-        }
+        lengths |= {f"_{kind}_{name}_{n}": (f"_{kind}_{name}", n) for kind in summed for n in wanted.values()}
     df = df.withColumns(totals)
-
-    windows, results = {}, {}
-    for wanted in lengths.values():
-        for (_, n), total in wanted.items():
-            windows[f"{total}_{n}"] = F.col(total) - F.lag(total, n, 0).over(w.ordered)
+    windows = {window: F.col(total) - F.lag(total, n, 0).over(w.ordered) for window, (total, n) in lengths.items()}
     df = df.withColumns(windows)
-
+    results = {}
     for name, wanted in means.items():
         for result, n in wanted.items():
             whole, rest, count = (f"_{kind}_{name}_{n}" for kind in ("whole", "rest", "cnt"))
-            results[result] = _unless_bad(name, n, position, f"try_divide({whole} + {rest}, {count})")
-    for name, wanted in deviations.items():
-        for result, n in wanted.items():
-            total, square, count = (f"_{kind}_{name}_{n}" for kind in ("sum", "sqr", "cnt"))
-            spread = f"greatest({square} - {total} * {total} / greatest({count}, 1), 0d)"
-            deviation = _unless_bad(name, n, position, f"sqrt({spread} / greatest({count} - 1, 1))")
-            results[result] = f"CASE WHEN {count} > 1 THEN {deviation} END"
+            results[result] = (f"CASE WHEN _bad_{name} > {position} - {n} THEN double('NaN') "
+                               f"ELSE try_divide({whole} + {rest}, {count}) END")
     kept = [c for c in df.columns if c not in totals and c not in windows]
     return df.selectExpr(*kept, *[f"{value} AS {result}" for result, value in results.items()])
-
-
-def _unless_bad(name, n, position, value):
-    return f"CASE WHEN _bad_{name} > {position} - {n} THEN double('NaN') ELSE {value} END"

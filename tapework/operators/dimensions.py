@@ -7,19 +7,14 @@ from tapework.functions import scalar as S
 from tapework.schemas import DIM_COMPANY
 from tapework.session import stage_table
 
-# Rows that a single task may number.
-MAX_ROWS_ONE_TASK = 1_000_000
 
-
-def number_rows(df, order, name, max_rows=MAX_ROWS_ONE_TASK):
+def number_rows(df, order, name):
     """Dense 1-based row number over the order of column ``order`` (unique by contract, NULL last).
 
-    Up to ``max_rows`` rows one task numbers them. Beyond that the sorted rows are written once, each
-    with its place inside its sorted part, and parts are shifted by the rows before them.
+    The sorted rows are written once, each with its place inside its sorted part, and parts are shifted by the rows
+    before them, so no task sees them all.
     """
     order = F.col(order).asc_nulls_last()
-    if df.count() <= max_rows:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(order)).cast("long"))
     place = F.monotonically_increasing_id()
     placed = stage_table(
         df.orderBy(order)
@@ -32,15 +27,15 @@ def number_rows(df, order, name, max_rows=MAX_ROWS_ONE_TASK):
     shifts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).select(
         "_part", F.coalesce(before, F.lit(0)).alias("_shift"))
     return (
-        placed.join(F.broadcast(shifts), "_part")
+        placed.join(shifts, "_part")
         .withColumn(name, F.col("_shift") + F.col("_place") + 1)
         .select(*df.columns, name)
     )
 
 
-def dim_company(companies, max_rows=MAX_ROWS_ONE_TASK):
+def dim_company(companies):
     """Surrogate key by ticker order; rebuilt in full on every run."""
-    return number_rows(companies, "ticker", "empresa_id", max_rows).select(DIM_COMPANY.names)
+    return number_rows(companies, "ticker", "empresa_id").select(DIM_COMPANY.names)
 
 
 def dim_calendar(days):

@@ -1,8 +1,7 @@
 """Facts keyed by surrogates, and the rows that fail to find their dimensions.
 
-Joins carry no broadcast hint on the company side: Catalyst and AQE broadcast it while its size is
-below the session's threshold and otherwise sort-merge with skewed tickers split. The calendar is
-bounded by its day count.
+Joins carry no broadcast hint: Catalyst and AQE broadcast a dimension while its size is below the
+session's threshold and otherwise sort-merge with skewed keys split.
 """
 
 from pyspark.sql import functions as F
@@ -23,12 +22,12 @@ def with_company_id(df, company, *columns):
 def with_calendar_key(df, calendar, date="data"):
     """Inner join by date; dates outside the calendar drop out."""
     keys = calendar.select("tempo_id", F.col("data").alias(date))
-    return df.join(F.broadcast(keys), date)
+    return df.join(keys, date)
 
 
 def with_date(fact, calendar, name="data"):
     """Resolve the surrogate day back to a date; ``name`` is the role the calendar plays."""
-    return fact.join(F.broadcast(calendar.select("tempo_id", F.col("data").alias(name))), "tempo_id")
+    return fact.join(calendar.select("tempo_id", F.col("data").alias(name)), "tempo_id")
 
 
 def fact_quotes(quotes, company, calendar):
@@ -42,10 +41,10 @@ def fact_dividends(dividends, company, calendar):
 
 
 def rejected_rows(df, company, calendar, date="data"):
-    """Staged rows that the fact's inner joins lose, with the reason; counted by the caller."""
-    unknown = df.join(company.select("ticker"), "ticker", "left_anti").select(
-        "ticker", date, F.lit("ticker").alias("motivo"))
-    outside = df.join(
-        F.broadcast(calendar.select(F.col("data").alias(date))), date, "left_anti"
-    ).select("ticker", date, F.lit("data").alias("motivo"))
-    return unknown.unionByName(outside)
+    """Staged rows that the fact's inner joins lose, one row each with the reason: ``ticker``, ``data``
+    or both; counted by the caller."""
+    known = company.select("ticker", F.lit(True).alias("_known")).distinct()
+    dated = calendar.select(F.col("data").alias(date), F.lit(True).alias("_dated")).distinct()
+    marked = df.join(known, "ticker", "left").join(dated, date, "left")
+    reason = F.concat_ws(" e ", F.when(F.col("_known").isNull(), "ticker"), F.when(F.col("_dated").isNull(), "data"))
+    return marked.where(F.col("_known").isNull() | F.col("_dated").isNull()).select("ticker", date, reason.alias("motivo"))

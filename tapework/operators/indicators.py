@@ -86,9 +86,9 @@ def indicator_summary(daily, company):
 def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_KEY):
     """Dividends of the trailing 365 days over the raw close; 0 when there are none.
 
-    Dividends are summed per company and day and meet the quotes in one ordered window over blocks
-    of days instead of a range join: an event adds its amount on its day and takes it away 365 days
-    later, so the trailing sum is a running sum. An event is copied only into the blocks its 365 days
+    Dividends are summed per company and day. The trailing sum changes only on an event's day and 365 days later, so it
+    is taken at those days, each time anew over the 365 days before, and every quote looks up the last change in one
+    ordered window over blocks of days instead of a range join. An event is copied only into the blocks its 365 days
     touch. Repeated quotes form one row with the sum of all copies.
     """
     block = F.floor(F.col("day") / YIELD_BLOCK_DAYS)
@@ -98,9 +98,6 @@ def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_
         .groupBy("empresa_id", F.unix_date("data").alias("day"))
         .agg(F.sum("valor_dividendo").alias("amount"))
         .withColumn("block", F.explode(F.sequence(block, last_block)))
-        .withColumn("sign", F.explode(F.array(F.lit(1), F.lit(-1))))
-        .withColumn("amount", F.col("amount") * F.col("sign"))
-        .withColumn("day", F.when(F.col("sign") > 0, F.col("day")).otherwise(F.col("day") + YIELD_DAYS))
     )
 
     def placed(fact):
@@ -128,12 +125,15 @@ def dividend_yield(quotes_fact, dividends_fact, calendar, max_rows=MAX_ROWS_PER_
 
 
 def _trailing_sum(quotes, events, group):
-    upto = Window.partitionBy(*group).orderBy("day").rangeBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    merged = quotes.unionByName(events, allowMissingColumns=True)
-    # the count of live events is exact: it clears what rounding leaves of amounts added and taken
-    live = F.sum("sign").over(upto) > 0
-    total = F.when(live, F.greatest(F.sum("amount").over(upto), F.lit(0.0))).otherwise(F.lit(0.0))
+    changes = events.select(
+        *group, F.inline(F.array(F.struct("day", "amount"), F.struct((F.col("day") + YIELD_DAYS).alias("day"), F.lit(None).cast("double").alias("amount")))),
+    )
+    year = Window.partitionBy(*group).orderBy("day").rangeBetween(-(YIELD_DAYS - 1), Window.currentRow)
+    totals = changes.select(*group, "day", F.coalesce(F.sum("amount").over(year), F.lit(0.0)).alias("total"))
+    merged = quotes.unionByName(totals, allowMissingColumns=True)
+    # the change of a day comes before its quotes
+    upto = Window.partitionBy(*group).orderBy("day", F.col("total").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    total = F.coalesce(F.last("total", ignorenulls=True).over(upto), F.lit(0.0))
     return (
         merged.withColumn("dividendos_12m", total * F.col("copies"))
         .where(F.col("copies").isNotNull())

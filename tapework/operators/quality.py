@@ -1,5 +1,6 @@
 """Data checks. Each returns the violating rows; no rows means the check passes."""
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapework.schemas import EXCHANGE_SUFFIX
@@ -23,10 +24,17 @@ def _not_accepted(column, values):
 
 
 def accepted_values(df, column, values):
-    """NULL passes."""
+    """NULL passes. ``values`` is a list, or a relation that has them in a column of the same name."""
+    if isinstance(values, DataFrame):
+        return relationships(df, column, values, column)
     return df.where(_not_accepted(column, values))
 
 
+def price_not_positive(df):
+    """Warning: rows whose close or low is not above zero, of which returns and logarithms are NULL."""
+    return df.where((F.col("fechamento") <= 0) | (F.col("minima") <= 0))
+
+
 def relationships(child, column, parent, parent_column):
     """Child rows whose key has no parent; NULL keys are not compared."""
     keys = parent.select(F.col(parent_column).alias(column)).distinct()

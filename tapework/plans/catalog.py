@@ -160,7 +160,7 @@ def rewritten_year(spark, d):
 
 
 def materialized_layers(spark, d):
-    """Summary mart written as a table of its layer, twice, and read back."""
+    """Company dimension as a view of one layer and, from it, as a table of another."""
     house = nations(spark, d)
     layer, root = f"marts_{uuid.uuid4().hex[:8]}", fresh_path(spark, "warehouse")
     for _ in range(2):
@@ -170,6 +170,35 @@ def materialized_layers(spark, d):
     return table
 
 
+def refreshed_table(spark, d):
+    """A table written with all companies, then refreshed without one sector: the second content."""
+    company = stage_table(nations(spark, d).company, "companies")
+    layer, root = f"marts_{uuid.uuid4().hex[:8]}", fresh_path(spark, "warehouse")
+    create_layer(spark, layer, root)
+    materialize(company, layer, "dim_empresa", "table", root)
+    return materialize(company.where(F.col("setor") != "AMERICA"), layer, "dim_empresa", "table", root)
+
+
+def permanent_view(layer, name):
+    """A view that a daily run left behind, read by another session of the same catalog."""
+    def query(spark, d):
+        run = _filled_run(spark, d)
+        loads.refresh(spark, run)
+        names = {"raw": run.raw_layer, "staging": run.layers[0], "marts": run.layers[1]}
+        return spark.newSession().table(f"{names[layer]}.{name}")
+    return query
+
+
+def changed_write(spark, d):
+    """Rows that differ after one year was written again with doubled volumes."""
+    path = fresh_path(spark, "cotacoes")
+    quotes = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
+    write_quotes(quotes, path, "month")
+    before = stage_table(read_raw_quotes(spark, path, "month"), "before")
+    write_quotes(quotes.where(F.year("data") == 1997).withColumn("volume", F.col("volume") * 2), path, "month")
+    return sets.multiset_difference(before, read_raw_quotes(spark, path, "month"))
+
+
 def idempotent_write(spark, d):
     """Rows that differ after writing the same quotes twice: none."""
     path = fresh_path(spark, "cotacoes")
@@ -224,6 +253,21 @@ def missing_tickers(spark, d):
         market.nation_dividends(spark, d), market.nation_companies(spark, d))
 
 
+def missing_on_last_day(spark, d):
+    """Companies without a bar on the last day of all."""
+    quotes = stage_table(market.nation_quotes(spark, d).select("ticker", "data"), "pregoes")
+    last = quotes.agg(F.max("data").alias("data"))
+    return reports.tickers_without_data(quotes.join(last, "data"), market.nation_companies(spark, d))
+
+
+def half_of_the_union(spark, d):
+    """Dividends compared with the frames of the first half-years only: those of the second differ."""
+    events = stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing")
+    first = events.where(F.month("data_ex") <= 6).withColumn("Date", F.col("data_ex").cast("timestamp"))
+    frame = first.select("Date", F.col("valor_dividendo").alias("Dividends"), "ticker")
+    return sets.multiset_difference(events, normalize_vendor_dividends(frame, "UTC"))
+
+
 def per_ticker_union(spark, d):
     """Per-ticker dividend frames stacked again and compared with the whole: no row differs."""
     return sets.multiset_difference(
@@ -258,6 +302,14 @@ def dividend_yield(house):
     return lambda spark, d: rounded(house(spark, d).yields)
 
 
+def fractional_yield(spark, d):
+    """The yield of amounts in hundredths."""
+    house = nations(spark, d)
+    cents = house.dividends.withColumn("valor_dividendo", F.col("valor_dividendo") / 100)
+    result = indicators.dividend_yield(house.quotes, cents, house.calendar)
+    return result.withColumns({c: F.round(c, 6) for c in ("dividendos_12m", "dy_12m")})
+
+
 def dividend_yield_by_join(spark, d):
     house = nations(spark, d)
     return indicators.dividend_yield_by_join(house.quotes_view, house.dividends, house.calendar)
@@ -281,24 +333,31 @@ def period_options(spark, d):
 
 
 def on_daily(report, *args):
+    """Reports of one ticker compute only that ticker's series."""
     def query(spark, d):
         house = nations(spark, d)
+        if TICKER in args:
+            house = house.of_ticker(TICKER)
         return rounded(report(house.daily, house.company, *args))
     return query
 
 
-def on_quotes(report, *args):
-    """For reports that need only the price and date of the daily mart."""
+def on_quotes(report, start, end, *args):
+    """For reports that need only the price and date of the daily mart: the period reaches the raw scan
+    through the day keys, and nothing is written in between."""
     def query(spark, d):
         house = nations(spark, d)
-        dated = facts.with_date(house.quotes, house.calendar)
-        return rounded(report(dated, house.company, *args))
+        house.raw_quotes = with_partition_bounds(house.raw_quotes, start, end)
+        dated = facts.with_date(house.quotes_view, house.calendar)
+        return rounded(report(dated, house.company, start, end, *args))
     return query
 
 
 def on_yields(report, *args):
     def query(spark, d):
         house = nations(spark, d)
+        if TICKER in args:
+            house = house.of_ticker(TICKER)
         return rounded(report(house.yields, house.company, *args))
     return query
 
@@ -314,7 +373,7 @@ def dividends_coverage(spark, d):
 
 
 def summary_card(spark, d):
-    return rounded(reports.summary_card(nations(spark, d).summary, TICKER))
+    return rounded(reports.summary_card(nations(spark, d).of_ticker(TICKER).summary, TICKER))
 
 
 def _comparison(spark, d):
@@ -371,7 +430,8 @@ def repeated_keys(spark, d):
 
 
 def unlisted_tickers(spark, d):
-    known = [r.n_name for r in market.table(spark, d, "nation").where(F.col("n_regionkey") < 3).collect()]
+    """Quotes of the nations left out of the accepted values on purpose."""
+    known = market.table(spark, d, "nation").where(F.col("n_regionkey") < 3).select(F.col("n_name").alias("ticker"))
     return quality.accepted_values(nations(spark, d).stg_quotes, "ticker", known)
 
 
@@ -381,6 +441,18 @@ def orphans(spark, d):
     return quality.relationships(house.stg_quotes, "ticker", house.raw_dividends, "ticker")
 
 
+def orphans_of_a_day(spark, d):
+    """Quotes whose ticker paid no dividend on the last ex-date of all."""
+    house = landed(spark, d)
+    last = house.raw_dividends.agg(F.max("data_ex").alias("data_ex"))
+    return quality.relationships(house.stg_quotes, "ticker", house.raw_dividends.join(last, "data_ex"), "ticker")
+
+
+def filled_first_return(spark, d):
+    """First sessions of marts whose missing returns were filled with 0 on purpose."""
+    return quality.first_session_return(nations(spark, d).daily.fillna(0.0, ["retorno_simples"]))
+
+
 def raw_range_violations(spark, d):
     """The range rule on raw bars, where partial bars break it."""
     return quality.violates(
@@ -407,34 +479,66 @@ def check_report(spark, d):
 
 # --- loads -----------------------------------------------------------------------------------------
 
-def loaded(mode, start=None, end=None):
+def loaded(mode, start=None, end=None, years=loads.HISTORY_YEARS):
     def query(spark, d):
         path = fresh_path(spark, "cotacoes")
         source = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
-        loads.load_quotes(source, path, mode, TODAY, start, end, "month")
+        loads.load_quotes(source, path, mode, TODAY, start, end, "month", years)
         return read_raw_quotes(spark, path, "month")
     return query
 
 
+def reloaded(granularity, start, end):
+    """All history loaded, then days inside its months again with doubled volumes; no other day changes."""
+    def query(spark, d):
+        path = fresh_path(spark, "cotacoes")
+        source = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
+        loads.load_quotes(source, path, "inicial", TODAY, granularity=granularity, years=None)
+        again = source.withColumn("volume", F.col("volume") * 2)
+        if start == end:
+            loads.load_quotes(again, path, "diario", start, granularity=granularity)
+        else:
+            loads.load_quotes(again, path, "range", TODAY, start, end, granularity)
+        return read_raw_quotes(spark, path, granularity)
+    return query
+
+
+def vendor_to_raw(spark, d):
+    """The wide vendor frame of all tickers, loaded into the raw layer."""
+    tickers, path = ticker_list(spark, d), fresh_path(spark, "cotacoes")
+    loads.ingest_vendor_bars(wide_bars(spark, d, tickers), tickers, path, "inicial", TODAY, years=None)
+    return read_raw_quotes(spark, path)
+
+
 def loaded_dividends(spark, d):
+    """All dividends, then the current year's again for every ticker, with doubled amounts."""
     path = fresh_path(spark, "dividendos")
     source = stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing")
     loads.load_dividends(source, path, "inicial", TODAY)
-    loads.load_dividends(source.where(F.col("ticker") == TICKER), path, "incremental", TODAY)
+    doubled = source.withColumn("valor_dividendo", F.col("valor_dividendo") * 2)
+    loads.load_dividends(doubled, path, "incremental", TODAY)
     return read_raw_dividends(spark, path)
 
 
-def daily_run(spark, d):
-    """All history loaded, then one daily run; the check report of that run."""
+def _filled_run(spark, d):
+    """A warehouse with its raw layer loaded and nothing refreshed yet."""
     seed = fresh_path(spark, "seed")
     market.nation_companies(spark, d).write.csv(seed, header=True, quoteAll=True, escape='"')
     run = loads.DailyRun(
         fresh_path(spark, "run"), seed, ticker_list(spark, d), market.CALENDAR_START, market.CALENDAR_END,
-        granularity="month", layers=("staging", f"marts_{uuid.uuid4().hex[:8]}"))
+        granularity="month", layers=(f"staging_{(own := uuid.uuid4().hex[:8])}", f"marts_{own}"), raw_layer=f"raw_{own}")
     quotes = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
     dividends = stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing")
     loads.load_quotes(quotes, run.quotes_path, "range", TODAY, market.CALENDAR_START, TODAY, "month")
     loads.load_dividends(dividends, run.dividends_path, "inicial", TODAY)
+    return run
+
+
+def daily_run(spark, d):
+    """All history loaded, then one daily run; the check report of that run."""
+    run = _filled_run(spark, d)
+    quotes = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
+    dividends = stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing")
     return loads.run_daily(spark, run, quotes, dividends, TODAY)
 
 
@@ -458,7 +562,11 @@ QUERIES = {
     "k2_write_dividends": written_dividends,
     "k2_rewrite_one_year": rewritten_year,
     "k3_k4_layers": materialized_layers,
+    "k3_refreshed_table": refreshed_table,
+    "k3_staging_view": permanent_view("staging", "stg_cotacoes"),
+    "k3_dividend_view": permanent_view("marts", "fato_dividendos"),
     "k5_q10_idempotent_write": idempotent_write,
+    "k5_changed_write": changed_write,
     # projections and filters
     "p1_stg_quotes": house_table("stg_quotes"),
     "p2_stg_dividends": house_table("stg_dividends"),
@@ -478,13 +586,16 @@ QUERIES = {
     "m5_dividend_yield": dividend_yield(nations),
     "m5_dividend_yield_parts": dividend_yield(parts),
     "m5_dividend_yield_by_join": dividend_yield_by_join,
+    "m5_fractional_amounts": fractional_yield,
     # joins, aggregates, sets
     "j8_dividends_without_session": dividends_without_session,
     "a3_first_last_price": first_last_price,
     "a7_distinct_counts": distinct_counts,
     "a9_period_volatility": period_volatility,
     "j11_u3_missing_tickers": missing_tickers,
+    "j11_missing_on_last_day": missing_on_last_day,
     "u2_u4_per_ticker_union": per_ticker_union,
+    "u2_u4_half_of_the_union": half_of_the_union,
     # windows
     "w1_simple_return": daily_part("retorno_simples"),
     "w2_log_return": daily_part("retorno_log"),
@@ -524,6 +635,7 @@ QUERIES = {
     "r10_comparison_text": comparison_text,
     "r11_best_worst_flags": best_worst,
     "r12_warehouse_check": warehouse_check,
+    "r13_companies": acceptance("dim_empresa"),
     "r13_counts": acceptance("contagens"),
     "r13_latest_yield": acceptance("yield_recente"),
     "r13_latest_sessions": acceptance("pregoes_recentes"),
@@ -548,6 +660,9 @@ QUERIES = {
     "q3_repeated_keys": repeated_keys,
     "q4_unlisted_tickers": unlisted_tickers,
     "q5_orphans": orphans,
+    "q5_orphans_of_a_day": orphans_of_a_day,
+    "q6_close_not_positive": lambda s, d: quality.price_not_positive(market.nation_quotes(s, d)),
+    "q7_filled_first_return": filled_first_return,
     "q6_raw_range_violations": raw_range_violations,
     "q7_first_session_return": first_session,
     "q8_rejected_rows": rejected,
@@ -556,8 +671,12 @@ QUERIES = {
     "q11_check_report": check_report,
     # loads
     "l1_full_history": loaded("inicial"),
+    "l1_all_history": loaded("inicial", years=None),
+    "l1_vendor_to_raw": vendor_to_raw,
     "l2_one_day": loaded("diario"),
+    "l2_one_day_of_a_filled_month": reloaded("month", dt.date(1997, 5, 15), dt.date(1997, 5, 15)),
     "l3_range": loaded("range", START, END),
+    "l3_range_inside_filled_months": reloaded("year", dt.date(1997, 5, 15), dt.date(1997, 7, 9)),
     "l4_dividends_current_year": loaded_dividends,
     "l5_daily_run": daily_run,
 }

@@ -69,11 +69,11 @@ def extreme_returns(raw, top=TOP, max_rows=MAX_ROWS_PER_KEY):
     returns = raw_returns(raw, max_rows).where(F.col("retorno_pct").isNotNull())
 
     def pick(tag, order):
-        best = returns.orderBy(order, F.col("ticker"), F.col("data")).limit(top)
+        best = returns.orderBy(order, F.asc_nulls_last("ticker"), F.asc_nulls_last("data")).limit(top)
         return best.select(F.lit(tag).alias("extremo"), "ticker", "data", "fechamento", "retorno_pct")
 
     both = pick("alta", F.desc("retorno_pct")).unionByName(pick("queda", F.asc("retorno_pct")))
-    return both.orderBy("extremo", F.desc("retorno_pct"), "ticker", "data")
+    return both.orderBy("extremo", F.desc_nulls_last("retorno_pct"), F.asc_nulls_last("ticker"), F.asc_nulls_last("data"))
 
 
 def session_gaps(raw):
@@ -88,5 +88,5 @@ def session_gaps(raw):
     missing = F.array_except(sessions.scalar(), F.col("traded"))
     return (
         traded.where(F.col("ticker").isNotNull())
-        .select(F.explode(missing).alias("data"), "ticker").orderBy("data", "ticker")
+        .select(F.explode(missing).alias("data"), "ticker").orderBy(F.asc_nulls_last("data"), F.asc_nulls_last("ticker"))
     )

@@ -6,22 +6,25 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from tapework.operators import quality
+from tapework.plans.reports import coverage_report
 from tapework.plans.warehouse import Warehouse
-from tapework.schemas import DIVIDENDS, QUOTES, assert_schema
+from tapework.schemas import DIVIDENDS, GRANULARITY, QUOTES, assert_schema
 from tapework.session import stage_table
-from tapework.sinks.layers import create_layer, materialize
+from tapework.sinks.layers import create_layer, create_view, materialize, register
 from tapework.sinks.partitioned import write_dividends, write_quotes
 from tapework.sources.generated import calendar_days
 from tapework.sources.raw import read_companies, read_raw_dividends, read_raw_quotes
+from tapework.sources.vendor import normalize_vendor_bars
 
-# Fixed value: years of history of a full load, counted as 365 days.
+# Years of history of a full load, counted as 365 days, unless the caller asks for others.
 HISTORY_YEARS = 5
 
 
-def load_interval(mode, today, start=None, end=None):
-    """Inclusive dates of a load mode: ``inicial``, ``diario`` or ``range``."""
+def load_interval(mode, today, start=None, end=None, years=HISTORY_YEARS):
+    """Inclusive dates of a load mode: ``inicial``, ``diario`` or ``range``. ``years`` is the history
+    of ``inicial``; None is all of it, and then there is no first date."""
     if mode == "inicial":
-        return today - dt.timedelta(days=365 * HISTORY_YEARS), today
+        return (today - dt.timedelta(days=365 * years) if years is not None else None), today
     if mode == "diario":
         return today, today
     if mode != "range":
@@ -33,16 +36,28 @@ def load_interval(mode, today, start=None, end=None):
     return start, end
 
 
-def load_quotes(source, path, mode, today, start=None, end=None, granularity="day"):
-    """Write the source rows of the interval; returns the partitions written (0 without sessions)."""
+def load_quotes(source, path, mode, today, start=None, end=None, granularity="day", years=HISTORY_YEARS):
+    """Write the source rows of the interval, day by day over what is stored; returns the partitions
+    written (0 without sessions)."""
     assert_schema(source, QUOTES)
-    first, last = load_interval(mode, today, start, end)
-    rows = source.where(F.col("data").between(first, last))
+    first, last = load_interval(mode, today, start, end, years)
+    rows = source.where(F.col("data") <= F.lit(last))
+    if first is not None:
+        rows = rows.where(F.col("data") >= F.lit(first))
     if not quality.leftover_suffix(rows).isEmpty():
         raise ValueError("tickers still carry the exchange suffix")
     return write_quotes(rows, path, granularity)
 
 
+def ingest_vendor_bars(wide, tickers, path, mode, today, start=None, end=None, granularity="day", years=HISTORY_YEARS):
+    """Vendor frame → contract → raw layer; returns the partitions written and the one-row summary of
+    rows, tickers, dates and expected tickers without a row."""
+    bars = stage_table(normalize_vendor_bars(wide, tickers), "vendor-bars")
+    written = load_quotes(bars, path, mode, today, start, end, granularity, years)
+    expected = wide.sparkSession.createDataFrame([(t,) for t in tickers], "ticker string")
+    return written, coverage_report(bars, expected)
+
+
 def load_dividends(source, path, mode, today):
     """``inicial`` rewrites every year, ``incremental`` the current one."""
     if mode not in ("inicial", "incremental"):
@@ -62,6 +77,7 @@ class DailyRun:
     calendar_end: dt.date
     granularity: str = "day"
     layers: tuple = ("staging", "marts")
+    raw_layer: str = "raw"
 
     @property
     def quotes_path(self):
@@ -82,7 +98,7 @@ def run_daily(spark, run, quotes_source, dividends_source, today):
 def refresh(spark, run):
     """Rebuild staging and marts from the raw layer and return the check report."""
     staging, marts = run.layers
-    for layer in run.layers:
+    for layer in (run.raw_layer, *run.layers):
         create_layer(spark, layer, run.root)
     warehouse = Warehouse(
         read_raw_quotes(spark, run.quotes_path, run.granularity),
@@ -92,8 +108,12 @@ def refresh(spark, run):
         write=lambda df, name: materialize(df, marts, name, "table", run.root),
     )
     tables = warehouse.written()
+    folders = GRANULARITY[run.granularity]
+    register(warehouse.raw_quotes.select(*QUOTES.names, *folders), run.raw_layer, "cotacoes", run.quotes_path, folders)
+    register(warehouse.raw_dividends, run.raw_layer, "dividendos", run.dividends_path, GRANULARITY["year"])
+    names = {"raw": run.raw_layer, "staging": staging, "marts": marts}
     for layer, name in ((staging, "stg_cotacoes"), (staging, "stg_dividendos"), (marts, "fato_dividendos")):
-        materialize(tables[name], layer, name, "view")
+        create_view(spark, layer, name, names)
     report = stage_table(quality.run_checks(tables, run.tickers), "checks")
     # the report holds one row per declared check
     failed = [r.teste for r in report.where(~F.col("aprovado")).collect()]

@@ -19,7 +19,7 @@ METRIC_DIRECTION = {
 
 
 def list_tickers(company):
-    return company.select("ticker").orderBy("ticker")
+    return company.select("ticker").orderBy(F.asc_nulls_last("ticker"))
 
 
 def date_range(daily, company=None, ticker=None):
@@ -50,12 +50,12 @@ def period_starts(daily, company):
 
 def indicator_series(daily, company, ticker, start, end):
     """All indicator columns of one ticker in a period; NULLs of the first sessions stay."""
-    return _within(_of_ticker(daily, company, ticker), start, end).select(daily.columns).orderBy("data")
+    return _within(_of_ticker(daily, company, ticker), start, end).select(daily.columns).orderBy(F.asc_nulls_last("data"))
 
 
 def yield_series(yields, company, ticker, start, end):
     return _within(_of_ticker(yields, company, ticker), start, end).select(
-        "data", "fechamento_bruto", "dividendos_12m", "dy_12m").orderBy("data")
+        "data", "fechamento_bruto", "dividendos_12m", "dy_12m").orderBy(F.asc_nulls_last("data"))
 
 
 def period_returns(daily, company, start, end):
@@ -68,7 +68,7 @@ def period_returns(daily, company, start, end):
     factor = ratio(F.col("fechamento_ajustado"), F.col("base"))
     return with_company_id(period.join(anchor, "empresa_id"), company, "ticker").select(
         "ticker", "data", (factor - 1).alias("retorno_janela"), (factor * 100).alias("base_100"),
-    ).orderBy("ticker", "data")
+    ).orderBy(F.asc_nulls_last("ticker"), F.asc_nulls_last("data"))
 
 
 def risk_return(daily, company, start, end):
@@ -79,7 +79,7 @@ def risk_return(daily, company, start, end):
         sample_volatility("retorno_log").alias("volatilidade_periodo"))
     return with_company_id(grouped, company, "ticker").select(
         "ticker", (ratio(F.col("ultimo"), F.col("primeiro")) - 1).alias("retorno_periodo"),
-        "volatilidade_periodo").orderBy("ticker")
+        "volatilidade_periodo").orderBy(F.asc_nulls_last("ticker"))
 
 
 def coverage_report(df, expected, date="data"):
@@ -95,12 +95,12 @@ def coverage_report(df, expected, date="data"):
 
 
 def tickers_without_data(df, expected):
-    return missing_keys(expected, df, "ticker").orderBy("ticker")
+    return missing_keys(expected, df, "ticker").orderBy(F.asc_nulls_last("ticker"))
 
 
 def current_yield(yields, company, ticker):
     """Yield on the last session of one ticker; no row when it has none."""
-    return _of_ticker(yields, company, ticker).orderBy(F.desc("data")).limit(1).select("dy_12m")
+    return _of_ticker(yields, company, ticker).orderBy(F.desc_nulls_last("data")).limit(1).select("dy_12m")
 
 
 def _latest_yield(yields, name):
@@ -109,7 +109,7 @@ def _latest_yield(yields, name):
 
 def yield_ranking(yields, company):
     return with_company_id(_latest_yield(yields, "dy_12m"), company, "ticker").select(
-        "ticker", "dy_12m").orderBy(F.desc_nulls_last("dy_12m"), "ticker")
+        "ticker", "dy_12m").orderBy(F.desc_nulls_last("dy_12m"), F.asc_nulls_last("ticker"))
 
 
 def summary_card(summary, ticker):
@@ -121,7 +121,7 @@ def comparison_table(summary, company, yields):
     named = with_company_id(summary, company, "nome")
     return named.join(_latest_yield(yields, "dy_atual"), "empresa_id", "left").select(
         "ticker", "nome", "retorno_acumulado_total", "max_drawdown", "volatilidade_media_30d",
-        "dy_atual", "total_pregoes").orderBy("ticker")
+        "dy_atual", "total_pregoes").orderBy(F.asc_nulls_last("ticker"))
 
 
 def best_worst_flags(table, directions=None):
@@ -197,25 +197,25 @@ def acceptance_blocks(company, daily, yields, summary, ticker, rows=5):
     # the ticker's id as a scalar subquery: more than one row is an error
     ticker_id = company.where(F.col("ticker") == ticker).select("empresa_id").scalar()
     own = daily.where(F.col("empresa_id") == ticker_id)
-    latest = _of_ticker(yields, company, ticker).orderBy(F.desc("data")).limit(1)
+    latest = _of_ticker(yields, company, ticker).orderBy(F.desc_nulls_last("data")).limit(1)
     return {
-        "dim_empresa": company.orderBy("empresa_id"),
+        "dim_empresa": company.orderBy(F.asc_nulls_last("empresa_id")),
         "contagens": row_counts({"diarios": daily, "yield": yields, "resumo": summary}),
         "yield_recente": latest.select(
             "data", "fechamento_bruto", "dividendos_12m", percent(F.col("dy_12m"), 2).alias("dy_pct")),
-        "pregoes_recentes": own.orderBy(F.desc("data")).limit(rows).select(
+        "pregoes_recentes": own.orderBy(F.desc_nulls_last("data")).limit(rows).select(
             "data",
             percent(F.col("retorno_simples"), 3).alias("ret_pct"),
             F.round("media_movel_30d", 2).alias("mm30"),
             percent(F.col("volatilidade_30d_anual"), 1).alias("vol30_anual_pct"),
             percent(F.col("drawdown"), 1).alias("drawdown_pct")),
-        "janela_parcial": own.orderBy("data").limit(rows).select(
+        "janela_parcial": own.orderBy(F.asc_nulls_last("data")).limit(rows).select(
             "data", F.round("media_movel_200d", 2).alias("mm200"), "pregoes_janela_200d"),
         "resumo": summary.select(
             "ticker",
             percent(F.col("max_drawdown"), 1).alias("max_dd_pct"),
             percent(F.col("retorno_acumulado_total"), 1).alias("ret_acum_pct"),
-            "total_pregoes").orderBy("ticker"),
+            "total_pregoes").orderBy(F.asc_nulls_last("ticker")),
     }
 
 
@@ -260,5 +260,5 @@ def risk_return_chart(daily, company, start, end):
 
 def ranking_chart(yields, company):
     """Latest yield per ticker in ascending order, in percent and as a label."""
-    return yield_ranking(yields, company).orderBy(F.asc_nulls_last("dy_12m"), "ticker").select(
+    return yield_ranking(yields, company).orderBy(F.asc_nulls_last("dy_12m"), F.asc_nulls_last("ticker")).select(
         "ticker", (F.col("dy_12m") * 100).alias("dy_pct"), percent_text(F.col("dy_12m"), 2).alias("rotulo"))

@@ -2,6 +2,8 @@
 
 from functools import cached_property
 
+from pyspark.sql import functions as F
+
 from tapework.operators import dimensions, facts, indicators, quality, staging
 from tapework.operators.layout import MAX_ROWS_PER_KEY
 from tapework.session import stage_table
@@ -15,13 +17,22 @@ class Warehouse:
     takes a DataFrame and a model name and returns the written table.
     """
 
-    def __init__(self, quotes, dividends, companies, days, max_rows=MAX_ROWS_PER_KEY, write=stage_table):
+    def __init__(self, quotes, dividends, companies, days, max_rows=MAX_ROWS_PER_KEY, write=stage_table, company=None):
         self.raw_quotes = quotes
         self.raw_dividends = dividends
         self.companies = companies
         self.days = days
         self.max_rows = max_rows
         self.write = write
+        if company is not None:
+            self.company = company
+
+    def of_ticker(self, ticker):
+        """The models of one ticker, with its key among all companies. Windows never cross companies,
+        so the ticker can be picked below them."""
+        own = F.col("ticker") == ticker
+        return Warehouse(self.raw_quotes.where(own), self.raw_dividends.where(own), self.companies, self.days,
+                         self.max_rows, self.write, self.company.where(own))
 
     @cached_property
     def stg_quotes(self):

@@ -1,15 +1,25 @@
 """Session helper for tests and bench, and the shared scratch folder of the running session."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
+def own_folder():
+    """New folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="tapework-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def local_session(app, cores="*", shuffle_partitions=8, memory="8g"):
-    """Session for tests and bench on one machine; a cluster brings its own session."""
+    """Session for tests and bench on one machine; a cluster brings its own session and folder."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
+        .config("spark.checkpoint.dir", own_folder())
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
@@ -23,15 +33,15 @@ def local_session(app, cores="*", shuffle_partitions=8, memory="8g"):
 def shared_folder(spark):
     """Folder every executor can read: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may fall back to a folder of its own; on a cluster a missing setting is
-    an error, because a machine-local folder would be lost with its machine.
+    Only a local master may fall back to a folder of its own, which ends with the process; on a cluster
+    a missing setting is an error, because a machine-local folder would be lost with its machine.
     """
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="tapework-"))
+        context.setCheckpointDir(own_folder())
         folder = context.getCheckpointDir()
     return folder.rstrip("/")
 

@@ -38,7 +38,13 @@ def read_companies(spark, path):
 
 
 def with_partition_bounds(raw, start, end, date="data"):
-    """Rows of ``start..end``; the year bounds let the scan skip partitions, which a filter on the
-    date alone would not."""
-    years = F.col("ano").between(start.year, end.year)
-    return raw.where(years & F.col(date).between(start, end))
+    """Rows of ``start..end``. Bounds on the partition columns let the scan skip partitions, which a
+    filter on the date alone would not; each bound works for the layouts that store its columns."""
+    bounds = F.col("ano").between(start.year, end.year) & F.col(date).between(start, end)
+    if "mes" in raw.columns:
+        month = F.col("ano") * 100 + F.col("mes")
+        bounds &= month.between(start.year * 100 + start.month, end.year * 100 + end.month)
+    if "dia" in raw.columns:
+        day = (F.col("ano") * 100 + F.col("mes")) * 100 + F.col("dia")
+        bounds &= day.between(int(f"{start:%Y%m%d}"), int(f"{end:%Y%m%d}"))
+    return raw.where(bounds)

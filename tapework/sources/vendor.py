@@ -2,6 +2,7 @@
 
 from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tapework.functions.scalar import with_suffix, without_suffix
@@ -48,7 +49,10 @@ def local_date(instant, zone=EXCHANGE_ZONE):
 
 
 def normalize_vendor_dividends(frames, zone=EXCHANGE_ZONE):
-    """Per-ticker frames (``Date`` instant, ``Dividends``, ``ticker``) stacked into dividend rows."""
+    """Frames (``Date`` instant, ``Dividends``, ``ticker``) as dividend rows: one frame of all tickers, or
+    a list of them to be stacked."""
+    if isinstance(frames, DataFrame):
+        frames = [frames]
     if not frames:
         raise ValueError("no tickers")
     stacked = reduce(lambda a, b: a.unionByName(b), frames)

@@ -9,8 +9,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL
+from tapework.plans.catalog import QUERIES
+from tapework.plans.oracle import ORACLES
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
          "boolean": "BOOLEAN"}
 
@@ -34,6 +35,7 @@ def rows_of(columns, rows):
 
 def test_every_query_has_its_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", QUERIES)

@@ -240,15 +240,57 @@ def test_indicators_need_one_exchange_and_one_sort(spark, price_series):
     assert text.count("Exchange hashpartitioning") == 1 and text.count("Sort [") == 1
 
 
-def test_no_frame_grows_with_the_window_length(spark, price_series):
+def test_no_average_frame_grows_with_the_window_length(spark, price_series):
     text = plan(indicators.indicator_columns(
         spark.createDataFrame(price_series(1, 5), BASE),
         SeriesWindow(["empresa_id"], [F.col("data").asc_nulls_last()])))
-    assert "RowFrame, -6, currentrow" not in text and "RowFrame, -251, currentrow" not in text
+    assert "RowFrame, -6, currentrow" not in text and "RowFrame, -199, currentrow" not in text
+
+
+def logs_of(prices):
+    return [math.log(b / a) for a, b in zip(prices, prices[1:])]
+
+
+@pytest.mark.parametrize("max_rows", [layout.MAX_ROWS_PER_KEY, 300])
+def test_volatility_forgets_what_left_its_window(spark, max_rows):
+    calm = [100.0 * 1.01**i for i in range(900)]
+    bad_tick = [100.0, 1e9, 100.0] + [100.0 * (1 + 1e-6 * math.sin(i)) for i in range(900)]
+    rows = [(company, i, dt.date(2010, 1, 4) + dt.timedelta(i), price, 1)
+            for company, prices in ((1, calm), (2, bad_tick)) for i, price in enumerate(prices)]
+    got = {(r.empresa_id, r.tempo_id): r for r in indicators_of(spark.createDataFrame(rows, BASE), max_rows).collect()}
+    for n in (30, 90, 252):
+        assert all(got[1, i][f"volatilidade_{n}d"] < 1e-15 for i in range(2, 900))
+        logs = logs_of(bad_tick)
+        for i in (400, 600, 902):
+            assert got[2, i][f"volatilidade_{n}d"] == pytest.approx(statistics.stdev(logs[i - n:i]), rel=1e-9)
+
+
+def test_both_layouts_give_the_same_bits_after_a_bad_tick(spark):
+    prices = [100.0, 1e9, 100.0] + [100.0 + 0.01 * (i * 7919 % 97) for i in range(900)]
+    rows = spark.createDataFrame([(1, i, dt.date(2010, 1, 4) + dt.timedelta(i), p, 1) for i, p in enumerate(prices)], BASE)
+    whole, split = indicators_of(rows), indicators_of(rows, 300)
+    columns = [c for c in whole.columns if c.startswith("volatilidade")]
+    assert whole.select("tempo_id", *columns).exceptAll(split.select("tempo_id", *columns)).isEmpty()
+
+
+@pytest.mark.parametrize("amount", [float("nan"), float("inf"), 1e17])
+@pytest.mark.parametrize("max_rows", [layout.MAX_ROWS_PER_KEY, 50])
+def test_yield_forgets_an_odd_dividend_after_a_year(spark, calendar, amount, max_rows):
+    start = dt.date(2011, 1, 1)
+    events = [(1, key(start + dt.timedelta(40)), amount)] + [(1, key(start + dt.timedelta(i)), 0.5 + i / 100) for i in range(0, 1500, 91)]
+    quotes = [(1, key(start + dt.timedelta(i)), 4.0) for i in range(0, 1800, 7)]
+    got = {r.tempo_id: r.dividendos_12m for r in yields(spark, calendar, quotes, events, max_rows=max_rows).collect()}
+    for _, tempo_id, _ in quotes:
+        day = dt.datetime.strptime(str(tempo_id), "%Y%m%d").date()
+        window = sorted((e, v) for _, e, v in events if key(day - dt.timedelta(364)) <= e <= tempo_id)
+        want = 0.0
+        for _, v in window:
+            want += v
+        assert got[tempo_id] == pytest.approx(want, rel=1e-12, nan_ok=True)
 
 
 def test_yield_shuffles_quotes_once_and_has_no_nested_loop_join(spark, calendar):
     text = plan(yields(spark, calendar, [(1, 20200615, 1.0)], [(1, 20200614, 1.0)]))
     assert "NestedLoop" not in text and "CartesianProduct" not in text
-    # dividends per day, then quotes and dividends together
-    assert text.count("Exchange hashpartitioning") == 2
+    # dividends per day, their trailing totals, then quotes and totals together
+    assert text.count("Exchange hashpartitioning") == 3

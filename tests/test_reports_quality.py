@@ -137,6 +137,8 @@ def test_rejected_rows_are_counted_with_their_reason(spark, company):
     rows = raw(spark, [(DAY, "AAA", 1.0), (DAY, "ZZZ", 1.0), (DAY + dt.timedelta(1), "AAA", 1.0)])
     got = sorted((r.ticker, r.motivo) for r in facts.rejected_rows(rows, company, calendar).collect())
     assert got == [("AAA", "data"), ("ZZZ", "ticker")]
+    both = raw(spark, [(DAY + dt.timedelta(1), "ZZZ", 1.0), (DAY, "AAA", 1.0)])
+    assert [(r.ticker, r.motivo) for r in facts.rejected_rows(both, company, calendar).collect()] == [("ZZZ", "ticker e data")]
     assert facts.fact_quotes(rows, company, calendar).count() == 1
 
 

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tapework import session
+from tapework import cli, session
 from tapework.operators import dimensions, sets, staging
 from tapework.plans import loads
 from tapework.schemas import (
@@ -127,12 +127,33 @@ def test_granularities_read_back_the_same(spark, tmp_path, granularity):
     assert same(rows, got) and got.where(F.col("dia") != F.dayofmonth("data")).isEmpty()
 
 
+@pytest.mark.parametrize("granularity", ["day", "month", "year"])
+def test_a_partial_load_keeps_every_other_row(spark, tmp_path, granularity):
+    path, first = str(tmp_path / "q"), dt.date(2024, 1, 20)
+    rows = bars(spark, *[bar(first + dt.timedelta(i), t, 5.0 + i) for i in range(40) for t in ("A", "B")])
+    loads.load_quotes(rows, path, "inicial", dt.date(2024, 3, 1), granularity=granularity)
+    changed = rows.withColumn("volume", F.lit(7).cast("long"))
+    for mode, today, start, end, days in (("diario", dt.date(2024, 2, 10), None, None, 1), ("range", DAY, dt.date(2024, 1, 30), dt.date(2024, 2, 2), 4)):
+        loads.load_quotes(changed, path, mode, today, start, end, granularity)
+        got = raw.read_raw_quotes(spark, path, granularity)
+        low, high = (start, end) if start else (today, today)
+        inside = F.col("data").between(low, high)
+        assert got.count() == 80 and got.where(inside & (F.col("volume") == 7)).count() == 2 * days
+    assert got.where("volume = 7").count() == 10 and same(rows.drop("volume"), got.select(rows.drop("volume").columns))
+
+
+def test_all_history_is_a_choice(spark, tmp_path):
+    rows = bars(spark, bar(dt.date(1990, 1, 2), "A"), bar(DAY, "A"))
+    assert loads.load_quotes(rows, str(tmp_path / "a"), "inicial", DAY) == 1
+    assert loads.load_quotes(rows, str(tmp_path / "b"), "inicial", DAY, years=None) == 2
+
+
 def test_a_large_partition_is_rebalanced(spark, tmp_path):
     rows = spark.range(5000).select(
         F.lit(DAY).alias("data"), F.format_string("T%d", "id").alias("ticker"),
         *[F.lit(1.0).alias(c) for c in PRICE_COLUMNS], F.col("id").alias("volume"))
     keys = ["ano", "mes", "dia"]
-    assert partitioned._write(rows, str(tmp_path / "q"), "data", keys, max_rows=100) == 1
+    assert partitioned._write(rows, str(tmp_path / "q"), "data", keys) == 1
     assert same(rows, raw.read_raw_quotes(spark, str(tmp_path / "q")))
 
 
@@ -159,7 +180,8 @@ def test_period_reads_prune_partitions(spark, tmp_path):
     got = raw.with_partition_bounds(raw.read_raw_quotes(spark, str(tmp_path)), dt.date(2020, 1, 1), dt.date(2021, 1, 2))
     text = got._jdf.queryExecution().executedPlan().toString()
     assert got.count() == 2
-    assert "ano" in text.split("PartitionFilters: [")[1].split("]")[0]
+    pruned = text.split("PartitionFilters: [")[1].split("]")[0]
+    assert all(c in pruned for c in ("ano", "mes", "dia"))
 
 
 # --- layers, dimensions ----------------------------------------------------------------------------
@@ -175,12 +197,11 @@ def test_layers_can_be_created_and_refreshed_again(spark, tmp_path):
         materialize(table, "layer_test", "v", "other")
 
 
-@pytest.mark.parametrize("max_rows", [dimensions.MAX_ROWS_ONE_TASK, 0])
-def test_surrogate_keys_follow_ticker_order(spark, max_rows):
+def test_surrogate_keys_follow_ticker_order(spark):
     tickers = spark.range(500).select(F.format_string("T%05d", (F.col("id") * 7919) % 500).alias("ticker"))
     companies = tickers.repartition(7).select("ticker", *[
         F.lit("x").alias(c) for c in ("nome", "setor", "subsetor", "segmento")])
-    got = dimensions.dim_company(companies, max_rows).orderBy("ticker").collect()
+    got = dimensions.dim_company(companies).orderBy("ticker").collect()
     assert [r.empresa_id for r in got] == list(range(1, 501))
 
 
@@ -271,6 +292,35 @@ def test_daily_run_builds_all_layers_and_passes(spark, run):
     assert report.count() == 49 and report.where("not aprovado").isEmpty()
     assert spark.table("marts.mart_indicadores_diarios").count() == 6
     assert spark.table("marts.mart_dividend_yield").where("dy_12m > 0").count() == 3
+    other = spark.newSession()
+    assert other.table("staging.stg_cotacoes").count() == 6 and other.table("staging.stg_dividendos").count() == 1
+    assert other.table("marts.fato_dividendos").count() == 1
+
+
+def test_daily_run_from_the_command_line(spark, run, tmp_path):
+    days = [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(10)]
+    bars(spark, *[bar(d, t, 10.0 + d.day) for d in days for t in ("AAA3", "BBB4")]).write.parquet(str(tmp_path / "q"))
+    spark.createDataFrame([(days[5], "AAA3", 0.5)], DIVIDENDS).write.parquet(str(tmp_path / "d"))
+    command = ["dia", "--raiz", run.root, "--cotacoes", str(tmp_path / "q"), "--dividendos", str(tmp_path / "d"), "--empresas", run.companies_csv,
+               "--tickers", "AAA3,BBB4", "--calendario", "2024-01-01", "2024-12-31", "--hoje"]
+    assert cli.main([*command, "2024-01-06"]) == 0
+    assert raw.read_raw_quotes(spark, run.quotes_path).count() == 2
+    bars(spark, (DAY, "AAA3", 10.0, 5.0, 9.0, 10.0, 10.0, 1)).write.parquet(str(tmp_path / "bad"))
+    assert cli.main([*command[:4], str(tmp_path / "bad"), *command[5:], str(DAY)]) == 1
+
+
+def test_vendor_frame_to_raw_layer(spark, tmp_path):
+    columns = ["Date"] + [vendor.wide_column(t, m) for t in ("AAA3", "BBB4") for m in VENDOR_METRICS]
+    wide = spark.createDataFrame([(dt.datetime(2024, 2, 28), 1.0, 2.0, 0.5, 1.5, 1.4, 100.0, *[None] * 6)],
+                                 ", ".join(f"`{c}` {'timestamp' if c == 'Date' else 'double'}" for c in columns))
+    written, coverage = loads.ingest_vendor_bars(wide, ["AAA3", "BBB4"], str(tmp_path / "q"), "diario", DAY)
+    assert written == 1 and raw.read_raw_quotes(spark, str(tmp_path / "q")).count() == 1
+    assert tuple(coverage.first()) == (1, 1, DAY, DAY, 1)
+
+
+def test_one_frame_of_dividends_for_all_tickers(spark):
+    frame = spark.createDataFrame([(dt.datetime(2024, 2, 28), 0.5, "AAA3")], "Date timestamp, Dividends double, ticker string")
+    assert same(vendor.normalize_vendor_dividends(frame, "UTC"), vendor.normalize_vendor_dividends([frame], "UTC"))
 
 
 def test_daily_run_fails_on_a_failed_check(spark, run):
