@@ -20,8 +20,9 @@ MIN_WORDS = 50
 SEED_WORDS = 10
 #: Sorted neighbours on each side that a suffix is compared with.
 NEIGHBOURS = 8
-#: Kept positions inside a run of one repeated word are this far apart.
+#: Kept positions inside a run of up to ten words over and over are about this far apart.
 RUN_STEP = 20
+PERIODS = 10
 #: Sorted suffixes that a task holds, about.
 ROWS_PER_PART = 200_000
 
@@ -54,10 +55,14 @@ def minimisers(words, counts, seed=SEED_WORDS, least=MIN_WORDS):
     pad = np.zeros(window - 1, np.uint64)
     seen = _slide(np.concatenate([pad, low, pad]), window, np.maximum)  # at p: the largest minimum of the windows over p
     kept = (seen[:len(h)] == h) & (h > 0)
-    flat = np.zeros(len(h), bool)
-    flat[1:-1] = (h[1:-1] == h[:-2]) & (h[1:-1] == h[2:])
-    run = np.arange(len(h)) - np.maximum.accumulate(np.where(flat, 0, np.arange(len(h))))
-    kept &= ~flat | (run % RUN_STEP == 0)
+    place = np.arange(len(h))
+    for period in range(1, PERIODS + 1):
+        inside = np.zeros(len(h), bool)
+        again = h[period:] == h[:-period]
+        inside[period:-period] = again[period:] & again[:-period]
+        if inside.any():
+            run = place - np.maximum.accumulate(np.where(inside, 0, place))
+            kept &= ~inside | (run // period % -(-RUN_STEP // period) == 0)
     at = np.flatnonzero(kept)
     return owner[at], at - first[owner[at]], h[at]
 
@@ -196,7 +201,8 @@ def repeated_passages(docs, *, least=MIN_WORDS, neighbours=NEIGHBOURS):
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     base = base.withColumn("doc", F.xxhash64("doc_id", "text"))
     anchors = stage_table(base.select("doc", "text").mapInArrow(_anchors, "doc long, at int, seed long"), "anchors")
-    shared = anchors.groupBy("seed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("seed")
+    # written, so that both sides of the join are plain shuffles and a frequent seed is split
+    shared = stage_table(anchors.groupBy("seed").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("seed"), "seeds")
     places = anchors.join(shared, "seed", "left_semi").groupBy("doc").agg(F.collect_set("at").alias("places"))
     rows = base.join(places, "doc").select("doc", "doc_id", "text", "places").mapInArrow(
         _contexts(left_words, right_words), "doc long, doc_id long, at int, right binary, left binary")
