@@ -28,7 +28,8 @@ CLOSE = 1e-4
 class DomainClassifier:
     """Softmax over the features of ``Encoder``; ``domains`` are the label values seen, ascending."""
 
-    def __init__(self, described, labels, *, epochs=40, batch=256, rate=0.05, decay=1e-5, seed=5):
+    def __init__(self, described, labels, *, epochs=40, batch=256, rate=0.05, decay=1e-5, seed=5, least_steps=300):
+        epochs = max(epochs, -(-least_steps * batch // max(1, len(labels))))  # small samples get more
         self.domains, y = np.unique(labels, return_inverse=True)
         self.encoder = Encoder(described)
         n = max(1, len(self.domains))

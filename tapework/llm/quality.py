@@ -47,8 +47,10 @@ class FactorisationMachine:
         margin, _ = self._margin(*self.encoder.rows(described))
         return 1 / (1 + np.exp(-np.clip(margin, -40, 40)))
 
-    def fit(self, described, y, epochs=12, batch=256, rate=0.05, decay=1e-4, seed=11):
-        """Logistic loss, Adam over shuffled batches. One class only, or no rows: the prior is the score."""
+    def fit(self, described, y, epochs=12, batch=256, rate=0.05, decay=1e-4, seed=11, least_steps=300):
+        """Logistic loss, Adam over shuffled batches; small samples get more epochs. One class only, or no rows: the
+        prior is the score."""
+        epochs = max(epochs, -(-least_steps * batch // max(1, len(y))))
         share = (y.sum() + 1) / (len(y) + 2)
         self.bias = float(np.log(share / (1 - share)))
         if len(np.unique(y)) < 2:
