@@ -23,6 +23,8 @@ ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/
 #: Tokens the Markov models judge, and the log-likelihood ratio from which one counts as random.
 TOKEN = r"[A-Za-z0-9+/_=]{16,}"
 LEAST_RATIO = 12.0
+#: Weight, in counts, of a character's own frequency against that after another.
+BACK_OFF = 8.0
 #: Documents whose tokens a fit may use.
 TRAIN_DOCS = 20_000
 
@@ -81,8 +83,9 @@ def labelled_tokens(docs, rows=TRAIN_DOCS):
 def train(samples):
     """Log-likelihood ratios of all character pairs, from ``samples(token, is_random)``; None without both labels.
 
-    A pair's probability is that of its second character after its first, with one added to every count. Only pairs
-    over ``ALPHABET`` count, so at most two counts per pair reach the driver.
+    A pair's probability is that of its second character after its first, backed off to the second alone where the
+    first is rare, with one added to every count. Only pairs over ``ALPHABET`` count, so at most two counts per pair
+    reach the driver.
     """
     pairs = F.explode(F.transform(F.sequence(F.lit(1), F.length("token") - 1), lambda i: F.substring("token", i, F.lit(2))))
     counts = (
@@ -92,11 +95,15 @@ def train(samples):
     n = {(r["is_random"], r["pair"]): r["n"] for r in counts.collect()}
     if {k for k, _ in n} != {True, False}:
         return None
-    size, table = len(ALPHABET), []
-    for a in ALPHABET:
-        random, plain = (sum(n.get((k, a + b), 0) for b in ALPHABET) + size for k in (True, False))
-        table += [math.log((n.get((True, a + b), 0) + 1) / random) - math.log((n.get((False, a + b), 0) + 1) / plain) for b in ALPHABET]
-    return table
+    logs = {}
+    for kind in (True, False):
+        alone = {b: 1 + sum(n.get((kind, a + b), 0) for a in ALPHABET) for b in ALPHABET}
+        total = sum(alone.values())
+        for a in ALPHABET:
+            after = sum(n.get((kind, a + b), 0) for b in ALPHABET)
+            for b in ALPHABET:
+                logs[kind, a + b] = math.log((n.get((kind, a + b), 0) + BACK_OFF * alone[b] / total) / (after + BACK_OFF))
+    return [logs[True, a + b] - logs[False, a + b] for a in ALPHABET for b in ALPHABET]
 
 
 def ratio(token, table):

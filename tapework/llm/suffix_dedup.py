@@ -55,11 +55,13 @@ def minimisers(words, counts, seed=SEED_WORDS, least=MIN_WORDS):
     pad = np.zeros(window - 1, np.uint64)
     seen = _slide(np.concatenate([pad, low, pad]), window, np.maximum)  # at p: the largest minimum of the windows over p
     kept = (seen[:len(h)] == h) & (h > 0)
-    place = np.arange(len(h))
+    place, thinned = np.arange(len(h)), np.zeros(len(h), bool)
     for period in range(1, PERIODS + 1):
         inside = np.zeros(len(h), bool)
         again = h[period:] == h[:-period]
         inside[period:-period] = again[period:] & again[:-period]
+        inside &= ~thinned  # a run of one word is one of two words, too
+        thinned |= inside
         if inside.any():
             run = place - np.maximum.accumulate(np.where(inside, 0, place))
             kept &= ~inside | (run // period % -(-RUN_STEP // period) == 0)
@@ -120,21 +122,33 @@ class _Suffixes:
                    bytes_of(batch.column(4)).reshape(-1, width_left))
 
     def extents(self, least, neighbours, new=0):
-        """Longest (left, right) extension of each row by matches of at least ``least`` words with other documents."""
+        """Longest (left, right) extension of each row by matches of at least ``least`` words with other documents.
+
+        A row meets its ``neighbours`` on either side, and the nearest of another document beyond them where rows of
+        its own document (a run of the same words) fill those places. Pairs of rows before ``new`` are done already.
+        """
         n = len(self.doc)
         left, right = np.full(n, -1), np.full(n, -1)
-        for k in range(1, min(neighbours, n - 1) + 1):
-            i = np.arange(max(k, new), n)
-            i = i[(self.doc[i] != self.doc[i - k]) & (self.right[i, 0] == self.right[i - k, 0])]
-            r = _shared(self.right[i], self.right[i - k])
-            i, r = i[r > 0], r[r > 0]
-            m = _shared(self.left[i], self.left[i - k])
-            good = r + m >= least
-            i, r, m = i[good], r[good], m[good]
-            for j in (i, i - k):
-                left[j], right[j] = np.maximum(left[j], m), np.maximum(right[j], r)
+        rows = np.arange(n)
+        pairs = [(rows[k:], rows[k:] - k) for k in range(1, min(neighbours, n - 1) + 1)]
+        before, after = self.others()
+        pairs += [(rows[before >= 0], before[before >= 0]), (after[after < n], rows[after < n])]
+        for i, j in pairs:
+            near = (i >= new) & (self.doc[i] != self.doc[j]) & (self.right[i, 0] == self.right[j, 0])
+            i, j = i[near], j[near]
+            r, m = _shared(self.right[i], self.right[j]), _shared(self.left[i], self.left[j])
+            good = (r > 0) & (r + m >= least)
+            for x in (i[good], j[good]):
+                np.maximum.at(left, x, m[good])
+                np.maximum.at(right, x, r[good])
         return left, right
 
+    def others(self):
+        """Of each row the last row before and the first row after its run of one document's rows."""
+        start = np.flatnonzero(np.diff(self.doc, prepend=self.doc[0] - 1 if len(self.doc) else 0) != 0)
+        run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(self.doc))))
+        return (start - 1)[run], np.append(start[1:], len(self.doc))[run] if len(start) else run
+
 
 _SPANS = "kind int, part int, doc long, doc_id long, at int, right binary, left binary, start long, end long"
 
@@ -173,9 +187,12 @@ def _compare(least, neighbours, width_right, width_left):
                 batch = pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
             left, right = _Suffixes.of(batch, width_right, width_left).extents(least, neighbours, new=held)
             yield _found(batch, left, right, np.arange(batch.num_rows))
-            tail = batch.slice(max(0, batch.num_rows - neighbours))
+            # the last rows, and all of a run of one document's rows with the row before it
+            docs = batch.column(0).to_numpy()
+            other = np.flatnonzero(docs != docs[-1])
+            tail = batch.slice(max(0, min(batch.num_rows - neighbours, int(other[-1]) if len(other) else 0)))
         if tail is not None:
-            yield _edge(tail, part, 2)
+            yield _edge(tail.slice(max(0, tail.num_rows - neighbours)), part, 2)
     return run
 
 

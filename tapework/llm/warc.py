@@ -158,7 +158,7 @@ def records_in(window, start, end):
     while at is not None and at < end:
         data, after = read_member(window, at)
         yield parse_record(data)
-        at = after if window.at(after, len(MAGIC)) == MAGIC else find_record(window, after, end)
+        at = after if starts_record(window.at(after, 4096)) else find_record(window, after, end)
 
 
 def _page(urn):

