@@ -132,6 +132,14 @@ def test_coverage_names_missing_tickers(spark, company):
     assert tuple(got) == (2, 1, DAY, DAY, 2)
 
 
+def test_reports_put_missing_keys_last(spark):
+    names = spark.createDataFrame([(None,), ("B",), ("A",)], "ticker string")
+    assert [r.ticker for r in reports.list_tickers(names).collect()] == ["A", "B", None]
+    yields = spark.createDataFrame([(1, DAY, 0.5), (2, DAY, None), (3, DAY, 0.5)], "empresa_id long, data date, dy_12m double")
+    company = spark.createDataFrame([(1, None), (2, "A"), (3, "C")], "empresa_id long, ticker string")
+    assert [r.ticker for r in reports.yield_ranking(yields, company).collect()] == ["C", None, "A"]
+
+
 def test_rejected_rows_are_counted_with_their_reason(spark, company):
     calendar = spark.createDataFrame([(DAY, 1)], "data date, tempo_id int")
     rows = raw(spark, [(DAY, "AAA", 1.0), (DAY, "ZZZ", 1.0), (DAY + dt.timedelta(1), "AAA", 1.0)])
