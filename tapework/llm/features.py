@@ -26,6 +26,12 @@ class Described:
     def __len__(self):
         return len(self.lengths)
 
+    def part(self, first, last):
+        """Texts ``first`` to ``last`` (exclusive)."""
+        ends = np.concatenate([[0], np.cumsum(self.lengths)])
+        words = slice(ends[first], ends[min(last, len(self))])
+        return Described(self.buckets[words], self.counts[words], self.lengths[first:last], self.stats[first:last])
+
 
 def _per_text(values, lengths, of=np.add):
     """Sum (or maximum) of each text's values; 0 for texts without any."""
@@ -102,7 +108,7 @@ def sample_labelled(docs, labelled, label, bound):
     words, counts = (found[x].combine_chunks() for x in ("buckets", "counts"))
     stats = found["stats"].combine_chunks().flatten().to_numpy().reshape(-1, len(STATS))
     return found["label"].to_numpy().astype(np.int64), Described(
-        words.flatten().to_numpy().astype(np.int64), counts.flatten().to_numpy().astype(np.int64), np.diff(words.offsets.to_numpy()).astype(np.int64), stats)
+        words.flatten().to_numpy(), counts.flatten().to_numpy(), np.diff(words.offsets.to_numpy()).astype(np.int64), stats)
 
 
 class Encoder:
@@ -136,3 +142,9 @@ class Encoder:
         index = np.concatenate([slot, bins.ravel()])[order]
         value = np.concatenate([value, np.full(bins.size, 0.3)])[order]
         return index, value, np.bincount(owner, minlength=len(d))
+
+    def training_rows(self, d, step=256):
+        """``rows`` of a whole sample in 32 bits, made in parts."""
+        kinds = (np.int32, np.float32, np.int64)
+        got = [[x.astype(t) for x, t in zip(self.rows(d.part(k, k + step)), kinds, strict=True)] for k in range(0, len(d), step)]
+        return tuple(np.concatenate([g[k] for g in got] or [np.empty(0, t)]) for k, t in enumerate(kinds))

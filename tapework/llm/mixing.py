@@ -37,7 +37,7 @@ class DomainClassifier:
         share = (np.bincount(y, minlength=n) + 1) / (len(y) + n)
         self.bias = np.log(share)
         random = np.random.default_rng(seed)
-        index, value, per = self.encoder.rows(described)
+        index, value, per = self.encoder.training_rows(described)
         ends = np.cumsum(per)
         first, second, step = np.zeros_like(self.w), np.zeros_like(self.w), 0
         for epoch in range(epochs if len(self.domains) > 1 else 0):

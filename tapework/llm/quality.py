@@ -59,7 +59,7 @@ class FactorisationMachine:
         random = np.random.default_rng(seed)
         params = [self.w, self.v]
         first, second = [np.zeros_like(p) for p in params], [np.zeros_like(p) for p in params]
-        features, values, per_row = self.encoder.rows(described)
+        features, values, per_row = self.encoder.training_rows(described)
         ends = np.cumsum(per_row)
         step = 0
         for epoch in range(epochs):
