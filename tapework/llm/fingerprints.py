@@ -16,67 +16,98 @@ from pyspark.sql import functions as F
 from tapework.llm.common import parts_for
 from tapework.session import stage_table
 
-SAMPLES = 64
+SAMPLES = 48
 #: Characters of text that a task counts the words of, about.
-CHARS_PER_TASK = 8_000_000
-_UNIFORMS = "({h} & 4294967295) + 0.5D) * (shiftrightunsigned({h}, 32) + 0.5D) * 5.421010862427522E-20D"
+CHARS_PER_TASK = 5_000_000
+#: Stands for a null id in joins.
+_NO_ID = -(2**63)
+_DIGITS = 3
+#: Sides of a pair of texts: words that both have equally often, words of the text and of the edited text.
+_BOTH, _OWN, _NEW = 0, 1, 2
 
 
-def _product(h):
-    """Product of two uniform numbers from the halves of a 64-bit hash."""
-    return "(" + _UNIFORMS.format(h=h)
+def _value(i):
+    """Value of sample ``i`` for the columns ``word`` (a hash) and ``level``, ln(weight). The first hash gives r, the
+    second c and b; all of it is arithmetic and three logarithms inside one aggregate's generated code."""
+    h, g = f"xxhash64(word, {2 * i})", f"xxhash64(word, {2 * i + 1})"
+    r = f"(-ln((({h} & 4294967295) + 0.5D) * (shiftrightunsigned({h}, 32) + 0.5D) * {2.0**-64!r}D))"
+    c = f"ln(-ln((({g} & 16777215) + 0.5D) * ((shiftrightunsigned({g}, 24) & 16777215) + 0.5D) * {2.0**-48!r}D))"
+    b = f"(shiftrightunsigned({g}, 48) * {2.0**-16!r}D)"
+    return F.expr(f"{c} - {r} * (floor(level / {r} + {b}) - {b} + 1.0D)")
 
 
-def _draws(i):
-    """r, ln c and b of the column ``word`` in sample ``i``."""
-    scale = f"-ln({_product(f'xxhash64(word, {3 * i})')})"
-    level = f"ln(-ln({_product(f'xxhash64(word, {3 * i + 1})')}))"
-    shift = f"(xxhash64(word, {3 * i + 2}) & 1048575) / 1048576.0D"
-    return [F.expr(scale).alias(f"r{i}"), F.expr(level).alias(f"c{i}"), F.expr(shift).alias(f"b{i}")]
-
+def _documents(docs):
+    """``did`` (the id, the least long for null), ``text`` and ``key``, a hash of both that stands for the document."""
+    did = F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID))
+    return docs.select(did.alias("did"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).select(
+        "did", F.xxhash64("did", "text").alias("key"), "text")
 
-def _least(weight, i):
-    """Least value of sample ``i`` over the words, whose ln(weight) is the column ``ln_<weight>``; null is no weight."""
-    return F.expr(f"min(c{i} - r{i} * (floor(ln_{weight} / r{i} + b{i}) - b{i} + 1.0D))").alias(f"{weight}{i}")
 
+def _id():
+    return F.when(F.col("did") != _NO_ID, F.col("did")).alias("doc_id")
 
-def _documents(docs):
-    """``doc_id``, ``text`` and the key of a document: ``did`` (no null) and a hash of the text."""
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
-        "doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("did"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("key"), "text")
 
+def _counts(texts, sides, note=None):
+    """Counts of every distinct word (by hash) of each row of ``texts``, one column a text column of ``sides``.
 
-def _words(texts, columns):
-    """Counts of every distinct word (by hash) of each row of ``texts``; ``columns`` maps a weight to its text column.
-
-    A text without words has the one word of no letters."""
-    sides = F.explode(F.array(*[F.struct(F.lit(k).alias("side"), F.col(c).alias("t")) for k, c in enumerate(columns.values())]))
+    ``note`` is a column of 64 hexadecimal digits to carry along: its four numbers are words that count nowhere, with
+    ``part`` from -1 to -4 (0 for words). They also keep rows without words."""
+    note = F.lit("0" * 64) if note is None else note
+    pieces = [F.struct(F.lit(k).alias("side"), F.col(c).alias("t")) for k, c in enumerate(sides)]
+    pieces += [F.struct(F.lit(-1 - k).alias("side"), F.substring("note", 16 * k + 1, 16).alias("t")) for k in range(4)]
     tokens = F.explode(F.split(F.btrim("s.t", F.lit(" \t\r\n")), r"\s+"))
+    word = F.when(F.col("side") >= 0, F.xxhash64("w")).otherwise(F.conv("w", 16, -10).cast("long"))
     return (
-        texts.withColumn("row", F.monotonically_increasing_id()).select("did", "key", "row", sides.alias("s"))
-        .select("did", "key", "row", "s.side", tokens.alias("w"))
-        .groupBy("did", "key", "row", F.xxhash64("w").alias("word"))
-        .agg(*[F.sum((F.col("side") == k).cast("long")).alias(c) for k, c in enumerate(columns)])
+        texts.withColumn("note", note).withColumn("row", F.monotonically_increasing_id())
+        .select("key", "number", "row", F.explode(F.array(*pieces)).alias("s"))
+        .select("key", "number", "row", "s.side", tokens.alias("w")).where("w <> ''")
+        .groupBy("key", "number", "row", word.alias("word"), F.least("side", F.lit(0)).alias("part"))
+        .agg(*[F.sum((F.col("side") == k).cast("long")).alias(c) for k, c in enumerate(sides)])
     )
 
 
-def _samples(words, weights, samples):
-    """Per row the least value of every sample for each weight column."""
-    logs = [F.when(F.col(c) > 0, F.ln(F.col(c).cast("double"))).alias(f"ln_{c}") for c in weights]
-    draws = [d for i in range(samples) for d in _draws(i)]
-    return words.select("did", "key", "row", *logs, *draws).groupBy("did", "key", "row").agg(
-        *[_least(c, i) for c in weights for i in range(samples)])
+def _least(words, samples):
+    """Least value of every sample per row and side; ``words`` has ``side``, ``word``, ``weight`` and ``part``, and the
+    numbers of the rows' notes come out as ``note1`` to ``note4``."""
+    leveled = words.select("key", "number", "row", "side", "word", "part", F.ln(F.col("weight").cast("double")).alias("level"))
+    return leveled.groupBy("key", "number", "row", "side").agg(
+        *[F.min(_value(i)).alias(f"v{i}") for i in range(samples)],
+        *[F.max(F.when(F.col("part") == -k, F.col("word"))).alias(f"note{k}") for k in range(1, 5)])
+
+
+def _of_pairs(pairs, samples):
+    """Least values of the text (``own0``...) and of the edited text (``new0``...) of every row, and the digest of the
+    edited text in ``note1`` to ``note4``.
+
+    The part up to the last white space that both share is split into words once, and a word that both have equally
+    often is weighed once."""
+    kept = F.substring("text", F.lit(1), F.length("text") - F.floor(F.length("text") / 2).cast("int"))
+    head = F.regexp_extract(kept, r"(?s)^(.*)\s", 1)
+    rest = lambda c: F.substring(c, F.length("head") + 1, F.length(c))
+    parts = pairs.select("key", "number", "text", "edited", head.alias("head")).select(
+        "key", "number", "head", rest("text").alias("tail"), rest("edited").alias("patch"), F.sha2("edited", 256).alias("digest"))
+    counts = _counts(parts, ["head", "tail", "patch"], F.col("digest")).select(
+        "key", "number", "row", "word", "part", (F.col("head") + F.col("tail")).alias("own"), (F.col("head") + F.col("patch")).alias("new"))
+    one = lambda side, c: F.struct(F.lit(side).alias("side"), F.col(c).alias("weight"))
+    used = (
+        F.when(F.col("own") + F.col("new") == 0, None)
+        .when(F.col("own") == F.col("new"), F.array(one(_BOTH, "own"))).when(F.col("new") == 0, F.array(one(_OWN, "own")))
+        .when(F.col("own") == 0, F.array(one(_NEW, "new"))).when(F.col("new") > 0, F.array(one(_OWN, "own"), one(_NEW, "new")))
+    )
+    weighed = counts.select("key", "number", "row", "word", "part", F.explode_outer(used).alias("u")).select("key", "number", "row", "word", "part", "u.*")
+    return _least(weighed, samples).groupBy("key", "number", "row").agg(
+        *[F.min(F.when(F.col("side") != other, F.col(f"v{i}"))).alias(f"{name}{i}") for name, other in (("own", _NEW), ("new", _OWN)) for i in range(samples)],
+        *[F.max(f"note{k}").alias(f"note{k}") for k in range(1, 5)])
 
 
 def _printed(weight, samples):
-    """Four hexadecimal digits a sample."""
-    return F.concat(*[F.lpad(F.hex(F.expr(f"xxhash64({weight}{i}) & 65535")), 4, "0") for i in range(samples)])
+    """Three hexadecimal digits a sample: unequal samples look equal once in 4,096 times. No words give the digits of 0."""
+    return F.concat(*[F.lpad(F.hex(F.expr(f"xxhash64(coalesce({weight}{i}, 0.0D)) & 4095")), _DIGITS, "0") for i in range(samples)])
 
 
 def likeness(a, b, samples=SAMPLES):
     """Share of equal samples of two fingerprints."""
-    same = [F.when(F.substring(a, 4 * i + 1, 4) == F.substring(b, 4 * i + 1, 4), 1).otherwise(0) for i in range(samples)]
+    same = [F.when(F.substring(a, _DIGITS * i + 1, _DIGITS) == F.substring(b, _DIGITS * i + 1, _DIGITS), 1).otherwise(0) for i in range(samples)]
     return sum(same[1:], same[0]) / F.lit(float(samples))
 
 
@@ -84,9 +115,9 @@ def _numbered(keys):
     """Each distinct document's number, from 0, by descending id (null ids last), then by key.
 
     Range partitioned, numbered in each partition, shifted by the partitions before it: one row a partition."""
-    order = [F.desc_nulls_last("doc_id"), F.asc("key")]
+    order = [F.desc("did"), F.asc("key")]
     rows = stage_table(
-        keys.groupBy("doc_id", "did", "key").agg(F.first("n_chars").alias("n_chars")).repartitionByRange(*order).sortWithinPartitions(*order)
+        keys.groupBy("did", "key").agg(F.first("n_chars").alias("n_chars")).repartitionByRange(*order).sortWithinPartitions(*order)
         .withColumn("part", F.spark_partition_id()).withColumn("place", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))), "order")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     shifts = rows.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift"))
@@ -102,38 +133,36 @@ def with_edits(docs, samples=SAMPLES):
     ``docs``. Null texts are empty. Rows that repeat id and text are one document, whose next is the next other one;
     a table of one document has that as its next. Equal ids go by a hash of the text, null ids come last.
     """
-    base = _documents(docs)
-    order = _numbered(base.select("doc_id", "did", "key", F.length("text").alias("n_chars")))
+    documents = _documents(docs)
+    order = _numbered(documents.select("did", "key", F.length("text").alias("n_chars")))
     total, chars = order.agg(F.count(F.lit(1)), F.sum("n_chars")).first()
-    base = base.repartition(parts_for(chars or 0, CHARS_PER_TASK, 1), "did", "key")
+    last = F.lit(max(total, 1))
+    # one shuffle of the texts and one of the prefixes: all that follows reads these two
+    parts = parts_for(chars or 0, CHARS_PER_TASK, 2)
+    base = documents.select("key", "text").repartition(parts, "key")
     # what the document before asks of each: its own key and half its length
-    asks = order.select(F.pmod(F.col("number") + 1, F.lit(max(total, 1))).alias("number"), F.col("did").alias("to_did"), F.col("key").alias("to_key"),
+    asks = order.select(F.pmod(F.col("number") + 1, last).alias("number"), F.col("key").alias("to"), F.col("number").alias("to_number"),
                         F.floor(F.col("n_chars") / 2).cast("int").alias("asked"))
-    asked = order.select("number", "did", "key").join(asks, "number").drop("number")
-    prefixes = base.join(asked, ["did", "key"]).select(
-        F.col("to_did").alias("did"), F.col("to_key").alias("key"), F.substring("text", F.lit(1), F.col("asked")).alias("prefix"))
-    prefixes = prefixes.groupBy("did", "key").agg(F.first("prefix").alias("prefix"))  # equal where a document is repeated
-    n = F.length("text")
-    pairs = base.join(prefixes, ["did", "key"]).select(
-        "did", "key", "doc_id", "text", n.cast("long").alias("n_chars"),
-        F.concat(F.substring("text", F.lit(1), n - F.floor(n / 2).cast("int")), F.col("prefix")).alias("edited"))
-    words = _words(pairs, {"own": "text", "new": "edited"})
-    prints = stage_table(
-        _samples(words, ["own", "new"], samples)
-        .select("did", "key", _printed("own", samples).alias("fingerprint"), _printed("new", samples).alias("edited_fingerprint"))
-        .dropDuplicates(["did", "key"]), "fingerprints")
-    placed = prints.join(order.select("did", "key", "number"), ["did", "key"])
-    after = placed.select(F.pmod(F.col("number") - 1, F.lit(max(total, 1))).alias("number"), F.col("fingerprint").alias("_next"))
-    scored = placed.join(after, "number").select(
-        "did", "key", "fingerprint", "edited_fingerprint", likeness("fingerprint", "edited_fingerprint", samples).alias("near_edited"),
-        likeness("fingerprint", "_next", samples).alias("near_next"))
-    plain = pairs.select("did", "key", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"))
-    return plain.join(scored, ["did", "key"]).drop("did", "key")
+    asked = order.select("number", "key").join(asks, "number").drop("number")
+    prefixes = base.join(asked, "key").select(
+        F.col("to").alias("key"), F.col("to_number").alias("number"), F.substring("text", F.lit(1), F.col("asked")).alias("prefix")
+    ).repartition(parts, "key").dropDuplicates(["key"])  # equal where a document is repeated
+    kept = F.substring("text", F.lit(1), F.length("text") - F.floor(F.length("text") / 2).cast("int"))
+    pairs = base.join(prefixes, "key").select("key", "number", "text", F.concat(kept, F.col("prefix")).alias("edited"))
+    digest = F.lower(F.concat(*[F.lpad(F.hex(f"note{k}"), 16, "0") for k in range(1, 5)]))
+    done = stage_table(
+        _of_pairs(pairs, samples).select(
+            "number", digest.alias("edited_sha256"), _printed("own", samples).alias("fingerprint"), _printed("new", samples).alias("edited_fingerprint"))
+        .withColumn("near_edited", likeness("fingerprint", "edited_fingerprint", samples)), "fingerprints")
+    after = done.select(F.pmod(F.col("number") - 1, last).alias("number"), F.col("fingerprint").alias("_next")).dropDuplicates(["number"])
+    named = order.select("number", _id(), F.col("n_chars").cast("long").alias("n_chars"))
+    return done.join(after, "number").join(named, "number").select(
+        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", likeness("fingerprint", "_next", samples).alias("near_next"))
 
 
 def fingerprints(docs, samples=SAMPLES):
     """``doc_id`` and ``fingerprint`` of every row of ``docs``; null and empty texts share the fingerprint of no words."""
-    base = _documents(docs).repartition("did", "key").withColumn("id", F.struct("doc_id"))
-    prints = _samples(_words(base, {"own": "text"}), ["own"], samples)
-    named = prints.select(F.when(F.col("did") != -(2**63), F.col("did")).alias("doc_id"), _printed("own", samples).alias("fingerprint"))
-    return named
+    base = _documents(docs).select(F.col("did").alias("number"), "key", "text").repartition("key")
+    words = _counts(base, ["text"])
+    weighed = words.select("key", "number", "row", "word", "part", F.lit(_OWN).alias("side"), F.when(F.col("text") > 0, F.col("text")).alias("weight"))
+    return _least(weighed, samples).withColumnRenamed("number", "did").select(_id(), _printed("v", samples).alias("fingerprint"))
