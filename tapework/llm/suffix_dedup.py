@@ -4,27 +4,29 @@ Suffixes are kept at minimisers only: a position is kept if the hash of the ten
 of 41 positions, so every passage of 50 words holds a kept position and equal passages hold the same ones. Kept
 suffixes whose ten words occur in one document only are dropped by their hash. The others are range partitioned and
 sorted by their next 50 words (a key in more than one partition is no problem), compared with their neighbours there,
-and extended to the right and to the left; neighbours across partition edges are compared afterwards.
+and extended to the right and to the left. Rows that share words to the right beyond these neighbours or beyond a batch
+are settled by the hashes of the windows of 50 words that hold the suffix and reach no further to the right than that.
 """
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
-from pyspark.taskcontext import TaskContext
 
-from tapework.llm.words import mix, slices, word_hashes
+from tapework.llm.words import _INVERSE, _P, _powers, mix, slices, word_hashes
 from tapework.session import stage_table
 
 MIN_WORDS = 50
 SEED_WORDS = 10
-#: Sorted neighbours on each side that a suffix is compared with.
+#: Sorted neighbours on each side that a suffix is compared with; windows that more rows could share are hashed.
 NEIGHBOURS = 8
 #: Kept positions inside a run of up to ten words over and over are about this far apart.
 RUN_STEP = 20
 PERIODS = 10
 #: Sorted suffixes that a task holds, about.
 ROWS_PER_PART = 200_000
+#: Suffixes whose windows are hashed at once.
+ROWS_PER_HASH = 4_000
 
 
 def _slide(values, width, of):
@@ -112,97 +114,92 @@ def _shared(a, b):
 class _Suffixes:
     """Columns of sorted suffixes as arrays."""
 
-    def __init__(self, doc, at, right, left, part=None):
-        self.doc, self.at, self.right, self.left, self.part = doc, at, right, left, part
-
-    @classmethod
-    def of(cls, batch, width_right, width_left):
-        bytes_of = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint32)
-        return cls(batch.column(0).to_numpy(), batch.column(2).to_numpy(), bytes_of(batch.column(3)).reshape(-1, width_right),
-                   bytes_of(batch.column(4)).reshape(-1, width_left))
-
-    def extents(self, least, neighbours, new=0):
+    def __init__(self, batch, width_right, width_left):
+        words = lambda c, width: np.frombuffer(b"".join(c.to_pylist()), np.uint32).reshape(-1, width)
+        self.doc, self.at = batch.column(0).to_numpy(), batch.column(2).to_numpy().astype(np.int64)
+        self.right, self.left = words(batch.column(3), width_right), words(batch.column(4), width_left)
+        n = len(self.doc)
+        same = (self.right[1:] == self.right[:-1]).all(1) & (self.left[1:] == self.left[:-1]).all(1)
+        #: Of each row the first and the last row with the same contexts; rows of a run are in the order of their documents.
+        start = np.flatnonzero(np.append(True, ~same)) if n else np.empty(0, np.int64)
+        run = np.repeat(np.arange(len(start)), np.diff(np.append(start, n)))
+        self.first, self.last = start[run], (np.append(start[1:], n) - 1)[run] if n else start
+        self.copied = self.doc[self.first] != self.doc[self.last]
+
+    def extents(self, least, neighbours):
         """Longest (left, right) extension of each row by matches of at least ``least`` words with other documents.
 
-        A row meets its ``neighbours`` on either side, and the nearest of another document beyond them where rows of
-        its own document (a run of the same words) fill those places. Pairs of rows before ``new`` are done already.
+        A row meets its ``neighbours`` on either side, and all rows with the same contexts.
         """
         n = len(self.doc)
         left, right = np.full(n, -1), np.full(n, -1)
         rows = np.arange(n)
-        pairs = [(rows[k:], rows[k:] - k) for k in range(1, min(neighbours, n - 1) + 1)]
-        before, after = self.others()
-        pairs += [(rows[before >= 0], before[before >= 0]), (after[after < n], rows[after < n])]
-        for i, j in pairs:
-            near = (i >= new) & (self.doc[i] != self.doc[j]) & (self.right[i, 0] == self.right[j, 0])
+        for k in range(1, min(neighbours, n - 1) + 1):
+            i, j = rows[k:], rows[k:] - k
+            near = (self.doc[i] != self.doc[j]) & (self.right[i, 0] == self.right[j, 0])
             i, j = i[near], j[near]
             r, m = _shared(self.right[i], self.right[j]), _shared(self.left[i], self.left[j])
             good = (r > 0) & (r + m >= least)
             for x in (i[good], j[good]):
                 np.maximum.at(left, x, m[good])
                 np.maximum.at(right, x, r[good])
+        i = rows[self.copied]
+        r, m = _shared(self.right[i], self.right[i]), _shared(self.left[i], self.left[i])
+        good = r + m >= least
+        left[i[good]], right[i[good]] = np.maximum(left[i[good]], m[good]), np.maximum(right[i[good]], r[good])
         return left, right
 
-    def others(self):
-        """Of each row the last row before and the first row after its run of one document's rows."""
-        start = np.flatnonzero(np.diff(self.doc, prepend=self.doc[0] - 1 if len(self.doc) else 0) != 0)
-        run = np.repeat(np.arange(len(start)), np.diff(np.append(start, len(self.doc))))
-        return (start - 1)[run], np.append(start[1:], len(self.doc))[run] if len(start) else run
-
+    def open_windows(self, least, neighbours):
+        """(row, start, hash) of the windows of ``least`` words that rows beyond the neighbours could share.
 
-_SPANS = "kind int, part int, doc long, doc_id long, at int, right binary, left binary, start long, end long"
-
-
-def _found(batch, left, right, rows):
-    rows = rows[right[rows] >= 0]
-    at = batch.column(2).to_numpy()[rows].astype(np.int64)
-    none = pa.nulls(len(rows), pa.binary())
+        Such rows share no more words to the right than the last neighbour does, and none are known beyond the first
+        and last row; windows that reach further to the right are settled. Of rows with the same contexts in several
+        documents, which are spans already, the first and the last stand for all.
+        """
+        n = len(self.doc)
+        rows = np.arange(n)
+        rows = rows[~self.copied | (rows == self.first) | (rows == self.last)]
+        reach = np.maximum(_shared(self.right[rows], self.right[np.maximum(rows - neighbours, 0)]),
+                           _shared(self.right[rows], self.right[np.minimum(rows + neighbours, n - 1)]))
+        rows, reach = rows[reach >= SEED_WORDS], reach[reach >= SEED_WORDS]
+        before = least - SEED_WORDS
+        for lo in range(0, len(rows), ROWS_PER_HASH):
+            i = rows[lo:lo + ROWS_PER_HASH]
+            near = np.concatenate([self.left[i, :before][:, ::-1], self.right[i, :least]], axis=1).astype(np.uint64)
+            powers = _powers(_P, near.shape[1] + 1)
+            total = np.zeros((len(i), near.shape[1] + 1), np.uint64)
+            np.cumsum(mix(near) * powers[:-1], axis=1, out=total[:, 1:])
+            gaps = np.zeros(total.shape, np.int64)
+            np.cumsum(near == 0, axis=1, out=gaps[:, 1:])
+            hashes = mix((total[:, least:] - total[:, :-least]) * _powers(_INVERSE, before + 1))
+            k, j = np.nonzero((gaps[:, least:] == gaps[:, :-least]) & (np.arange(before + 1) + SEED_WORDS <= reach[lo:lo + ROWS_PER_HASH, None]))
+            yield i[k], self.at[i[k]] - before + j, hashes[k, j]
+
+
+_SPANS = "doc long, doc_id long, start int, end int, window long"
+
+
+def _rows(batch, rows, start, end, window=None):
+    window = pa.nulls(len(rows), pa.int64()) if window is None else pa.array(window.view(np.int64))
     take = pa.array(rows)
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.zeros(len(rows), np.int32)), pa.array(np.zeros(len(rows), np.int32)), batch.column(0).take(take), batch.column(1).take(take),
-         batch.column(2).take(take), none, none, pa.array(at - left[rows]), pa.array(at + right[rows])],
-        ["kind", "part", "doc", "doc_id", "at", "right", "left", "start", "end"])
-
-
-def _edge(batch, part, kind):
-    n = batch.num_rows
-    return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), pa.array(np.full(n, part, np.int32)), *batch.columns, pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())],
-        ["kind", "part", "doc", "doc_id", "at", "right", "left", "start", "end"])
+        [batch.column(0).take(take), batch.column(1).take(take), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), window],
+        ["doc", "doc_id", "start", "end", "window"])
 
 
 def _compare(least, neighbours, width_right, width_left):
-    """Spans found inside a sorted partition (kind 0), and its first (1) and last (2) rows for the edges."""
+    """Spans found among the sorted suffixes of a batch (no ``window``), and windows that other batches or rows beyond
+    the neighbours could share, by hash."""
     def run(batches):
-        part = TaskContext.get().partitionId()
-        tail, seen = None, 0
         for batch in batches:
             if not batch.num_rows:
                 continue
-            if seen < neighbours:
-                yield _edge(batch.slice(0, neighbours - seen), part, 1)
-            seen += batch.num_rows
-            held = 0 if tail is None else tail.num_rows
-            if held:
-                batch = pa.Table.from_batches([tail, batch]).combine_chunks().to_batches()[0]
-            left, right = _Suffixes.of(batch, width_right, width_left).extents(least, neighbours, new=held)
-            yield _found(batch, left, right, np.arange(batch.num_rows))
-            # the last rows, and all of a run of one document's rows with the row before it
-            docs = batch.column(0).to_numpy()
-            other = np.flatnonzero(docs != docs[-1])
-            tail = batch.slice(max(0, min(batch.num_rows - neighbours, int(other[-1]) if len(other) else 0)))
-        if tail is not None:
-            yield _edge(tail.slice(max(0, tail.num_rows - neighbours)), part, 2)
-    return run
-
-
-def _edges(least, neighbours, width_right, width_left):
-    def run(batches):
-        rows = [b for b in batches if b.num_rows]
-        if rows:
-            batch = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
-            left, right = _Suffixes.of(batch, width_right, width_left).extents(least, 2 * neighbours)
-            yield _found(batch, left, right, np.arange(batch.num_rows)).select(["doc", "doc_id", "start", "end"])
+            suffixes = _Suffixes(batch, width_right, width_left)
+            left, right = suffixes.extents(least, neighbours)
+            rows = np.flatnonzero(right >= 0)
+            yield _rows(batch, rows, suffixes.at[rows] - left[rows], suffixes.at[rows] + right[rows])
+            for rows, start, window in suffixes.open_windows(least, neighbours):
+                yield _rows(batch, rows, start, start + least, window)
     return run
 
 
@@ -212,7 +209,7 @@ def repeated_passages(docs, *, least=MIN_WORDS, neighbours=NEIGHBOURS):
     One row per maximal covered span: ``doc_id``, ``start_word``, ``end_word`` (exclusive) and ``n_words``; words are
     runs without white space. Documents are told apart by id and text, so rows that repeat both are one document, and
     copies under other ids are repeats. Null and short texts have no spans; documents without a repeat have no row.
-    Words are compared by 32-bit hashes, 50 and more in a row.
+    Words are compared by 32-bit hashes, 50 and more in a row, or by a 64-bit hash of these.
     """
     left_words, right_words = least - SEED_WORDS + 1, least
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
@@ -227,11 +224,10 @@ def repeated_passages(docs, *, least=MIN_WORDS, neighbours=NEIGHBOURS):
     found = stage_table(
         rows.repartitionByRange(parts, "right", "left", "doc", "at").sortWithinPartitions("right", "left", "doc", "at")
         .mapInArrow(_compare(least, neighbours, right_words, left_words), _SPANS), "spans")
-    # a partition's first and last rows only: their number follows that of the partitions
-    borders = found.where("kind > 0").repartition(1).sortWithinPartitions("part", "kind", "right", "left", "doc", "at").select(
-        "doc", "doc_id", "at", "right", "left").mapInArrow(
-        _edges(least, neighbours, right_words, left_words), "doc long, doc_id long, start long, end long")
-    spans = found.where("kind = 0").select("doc", "doc_id", "start", "end").unionByName(borders)
+    windows = found.where("window is not null")
+    # written like the seeds
+    common = stage_table(windows.groupBy("window").agg(F.min("doc").alias("lo"), F.max("doc").alias("hi")).where("lo <> hi").select("window"), "windows")
+    spans = found.where("window is null").drop("window").unionByName(windows.join(common, "window", "left_semi").drop("window"))
     order = Window.partitionBy("doc", "doc_id").orderBy("start", "end")
     islands = (
         spans.groupBy("doc", "doc_id", "start").agg(F.max("end").alias("end"))

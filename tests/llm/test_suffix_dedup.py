@@ -73,6 +73,15 @@ def test_neighbours_across_partitions(spark, words, monkeypatch):
     assert found(spark, texts) == brute(texts)
 
 
+def test_passages_that_end_in_a_stock_phrase(spark, words):
+    phrase, texts = words(1, 15), {}
+    for k in range(60):
+        passage = f"{words(1000 + k, 35)} {phrase}"
+        for copy in range(2):
+            texts[10 * k + copy] = f"{words(2000 + 2 * k + copy, 20)} {passage} {words(3000 + 2 * k + copy, 20)}"
+    assert found(spark, texts) == brute(texts) and len(brute(texts)) == 120
+
+
 def test_odd_rows(odd, none):
     got = {(r.doc_id, r.start_word, r.end_word) for r in suffix_dedup.repeated_passages(odd).collect()}
     assert got == {(6, 0, 60), (7, 0, 60)}  # rows that repeat id and text are one document
