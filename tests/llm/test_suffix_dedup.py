@@ -82,6 +82,15 @@ def test_passages_that_end_in_a_stock_phrase(spark, words):
     assert found(spark, texts) == brute(texts) and len(brute(texts)) == 120
 
 
+def test_runs_of_one_document_across_partitions(spark, words, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "ROWS_PER_PART", 7)
+    texts = {}
+    for k in range(6):
+        block = words(10 + k, 12)
+        texts[2 * k], texts[2 * k + 1] = " ".join([block] * 60), f"{words(100 + k, 30)} {block} {block} {block} {block} {block} {words(200 + k, 30)}"
+    assert found(spark, texts) == brute(texts)
+
+
 def test_odd_rows(odd, none):
     got = {(r.doc_id, r.start_word, r.end_word) for r in suffix_dedup.repeated_passages(odd).collect()}
     assert got == {(6, 0, 60), (7, 0, 60)}  # rows that repeat id and text are one document
