@@ -16,23 +16,28 @@ from pyspark.sql import functions as F
 from tapework.llm.common import parts_for
 from tapework.session import stage_table
 
-SAMPLES = 48
+SAMPLES = 64
 #: Characters of text that a task counts the words of, about.
 CHARS_PER_TASK = 5_000_000
 #: Stands for a null id in joins.
 _NO_ID = -(2**63)
+#: Base-64 digits of a sample in a fingerprint, 18 bits.
 _DIGITS = 3
 #: Sides of a pair of texts: words that both have equally often, words of the text and of the edited text.
 _BOTH, _OWN, _NEW = 0, 1, 2
 
 
+def _uniforms(i, k):
+    """Product of two uniform numbers from the halves of hash ``k`` of sample ``i``."""
+    h = f"xxhash64(word, {3 * i + k})"
+    return f"((({h} & 4294967295) + 0.5D) * (shiftrightunsigned({h}, 32) + 0.5D) * {2.0**-64!r}D)"
+
+
 def _value(i):
-    """Value of sample ``i`` for the columns ``word`` (a hash) and ``level``, ln(weight). The first hash gives r, the
-    second c and b; all of it is arithmetic and three logarithms inside one aggregate's generated code."""
-    h, g = f"xxhash64(word, {2 * i})", f"xxhash64(word, {2 * i + 1})"
-    r = f"(-ln((({h} & 4294967295) + 0.5D) * (shiftrightunsigned({h}, 32) + 0.5D) * {2.0**-64!r}D))"
-    c = f"ln(-ln((({g} & 16777215) + 0.5D) * ((shiftrightunsigned({g}, 24) & 16777215) + 0.5D) * {2.0**-48!r}D))"
-    b = f"(shiftrightunsigned({g}, 48) * {2.0**-16!r}D)"
+    """Value of sample ``i`` for the columns ``word`` (a hash) and ``level``, ln(weight). Three hashes give r, c and b;
+    all of it is arithmetic and three logarithms inside one aggregate's generated code."""
+    r, c = f"(-ln({_uniforms(i, 0)}))", f"ln(-ln({_uniforms(i, 1)}))"
+    b = f"((xxhash64(word, {3 * i + 2}) & 1048575) * {2.0**-20!r}D)"
     return F.expr(f"{c} - {r} * (floor(level / {r} + {b}) - {b} + 1.0D)")
 
 
@@ -101,8 +106,9 @@ def _of_pairs(pairs, samples):
 
 
 def _printed(weight, samples):
-    """Three hexadecimal digits a sample: unequal samples look equal once in 4,096 times. No words give the digits of 0."""
-    return F.concat(*[F.lpad(F.hex(F.expr(f"xxhash64(coalesce({weight}{i}, 0.0D)) & 4095")), _DIGITS, "0") for i in range(samples)])
+    """Three base-64 digits a sample: unequal samples look equal once in 2^18 times. No words give the digits of 0."""
+    bits = [f"lpad(hex(xxhash64(coalesce({weight}{i}, 0.0D)) & 16777215), 6, '0')" for i in range(samples)]
+    return F.concat(*[F.expr(f"left(base64(unhex({x})), {_DIGITS})") for x in bits])
 
 
 def likeness(a, b, samples=SAMPLES):

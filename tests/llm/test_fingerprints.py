@@ -40,6 +40,17 @@ def test_weights_count(spark):
     assert abs(same - 0.5) < 0.1
 
 
+def test_samples_and_bits(spark):
+    docs = spark.createDataFrame([(k, f"a{k} b{k}") for k in range(200)], "doc_id long, text string")
+    for table in (fingerprints.with_edits(docs), fingerprints.fingerprints(docs)):
+        prints = [r.fingerprint for r in table.collect()]
+        width = len(prints[0]) // 64
+        assert fingerprints.SAMPLES == 64 and {len(p) for p in prints} == {64 * width}
+        # 19,900 pairs without a word in common: 12 bits give about 311 equal samples, 16 bits 19
+        pieces = [Counter(p[width * i:width * (i + 1)] for p in prints) for i in range(64)]
+        assert sum(n * (n - 1) // 2 for c in pieces for n in c.values()) < 60
+
+
 def test_odd_rows(odd, none):
     got = fingerprints.with_edits(odd, 8).collect()
     assert len(got) == odd.count()
