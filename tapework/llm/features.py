@@ -81,14 +81,16 @@ def sample_labelled(docs, labelled, label, bound):
     """At most ``bound`` labelled documents, the first by a hash of ``doc_id``: (labels, ``Described``).
 
     ``labelled`` has ``doc_id`` and the column ``label``; rows without either are out, and of conflicting labels of a
-    document the least counts. The executors describe the texts; the driver gets bounded numbers in a fixed order.
+    document the least counts, as does the text of the least hash of those that share an id. The executors describe the
+    texts; the driver gets bounded numbers in a fixed order.
     """
     chosen = (
         labelled.select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("_label")).dropna()
         .groupBy("_id").agg(F.min("_label").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(bound)
     )
     rows = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("_text")).join(
-        F.broadcast(chosen), "_id").select("_id", "_label", F.xxhash64("_text").alias("_hash"), "_text")  # `bound` pairs of numbers at most
+        F.broadcast(chosen), "_id")  # `bound` pairs of numbers at most
+    rows = rows.groupBy("_id", "_label").agg(F.min(F.struct(F.xxhash64("_text").alias("_hash"), "_text")).alias("_least")).select("_id", "_label", "_least.*")
 
     def extract(batches):
         for batch in batches:

@@ -4,7 +4,7 @@ import numpy as np
 
 from odd_tables import none, odd, odd_labels, words  # noqa: F401
 from tapework.llm import quality
-from tapework.llm.features import Described, Encoder, describe, join_described
+from tapework.llm.features import Described, Encoder, describe, join_described, sample_labelled
 import pyarrow as pa
 
 DATA = "/root/testdata/sf0.01"
@@ -53,3 +53,11 @@ def test_odd_rows(odd, none, odd_labels):
     for untrained in (quality.train(odd, odd_labels.limit(0)), quality.train(none, odd_labels)):
         assert {r.score for r in quality.score(odd, untrained).collect()} == {0.5}
     assert quality.score(none, model).collect() == []
+
+
+def test_one_text_per_labelled_id(spark):
+    rows = [(1, f"text {k}") for k in range(300)] + [(1, None), (2, "one two"), (2, "one two"), (3, None), (4, "no label")]
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    label, described = sample_labelled(docs, labels, "quality", 10)
+    assert label.tolist() == [1, 0, 1] and len(described) == 3
