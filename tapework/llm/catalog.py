@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from tapework.llm import fingerprints, jaccard_join, mixing, packing, phrases, pii, quality, secrets, spelling, suffix_dedup, topk, warc
+from tapework.llm import (
+    extraction, fingerprints, jaccard_join, mixing, packing, phrases, pii, quality, secrets, spelling, suffix_dedup, topk, warc,
+)
 from tapework.llm.common import read
 
 
@@ -83,8 +85,14 @@ def op12_spelling(spark, sf_dir):
     return spelling.variants(read(spark, sf_dir, "documents"))
 
 
+def op13_extraction(spark, sf_dir):
+    """Main text of every page. A trained field has no SQL: tested on held-out labelled pages."""
+    pages = read(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.train(pages))
+
+
 QUERIES = {"op1_fingerprints": op1_fingerprints, "op2_quality": op2_quality, "op3_suffix_dedup": op3_suffix_dedup, "op4_secrets": op4_secrets, "op5_jaccard_join": op5_jaccard_join, "op6_warc": op6_warc, "op7_packing": op7_packing, "op8_topk": op8_topk, "op9_mixing": op9_mixing, "op10_pii": op10_pii,
-           "op11_phrases": op11_phrases, "op12_spelling": op12_spelling}
+           "op11_phrases": op11_phrases, "op12_spelling": op12_spelling, "op13_extraction": op13_extraction}
 
 OP6 = """
 WITH p AS (
