@@ -4,7 +4,7 @@ The relation of length k holds one occurrence a row: a position and the id of th
 position, written to the shared folder in blocks of whole pieces. Positions run on inside a piece and jump by two
 between pieces, so the relation of length k + 1 is a merge join of that of length k with itself at adjacent
 positions. Groups are counted in each batch before they are shuffled; those that are frequent are semi-joined to the
-occurrences before the next length is built.
+occurrences before the next length is built. The texts are read twice, so that only frequent words are persisted.
 """
 
 import numpy as np
@@ -50,34 +50,55 @@ def _batch(schema, **columns):
     return pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(n, f.type)).cast(f.type) for f in schema], schema=schema)
 
 
-_WORDS = pa.schema([("at", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("lang", pa.string()), ("word", pa.string()),
-                    ("id", pa.int64()), ("n", pa.int64())])
-_GROUPS = pa.schema([("at", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("id", pa.int64()), ("n", pa.int64()),
-                     ("left", pa.int64()), ("right", pa.int64())])
-WORDS = f"{RELATION}, lang string, word string, id long, n long"
+_WORDS = pa.schema([("at", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("id", pa.int64()), ("n", pa.int64()),
+                    ("lang", pa.string()), ("word", pa.string())])
+_GROUPS = pa.schema([*list(_WORDS)[:4], ("left", pa.int64()), ("right", pa.int64())])
+_COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
+WORDS = f"{RELATION}, id long, n long, lang string, word string"
 GROUPS = f"{RELATION}, id long, n long, left long, right long"
 
 
-def _occurrences(batches):
-    """(text, lang) → the relation of single words, and each word with its count in a range of texts."""
-    for batch in batches:
-        raw, offsets = string_bytes(batch.column(0))
-        # mixed once more: a word that is spelled like its language must not cancel it
-        salt = mix(string_hashes(batch.column(1)) + np.uint64(0x9E3779B97F4A7C15))
-        for lo, hi in ranges(raw, offsets, PIECE):
-            low = LOWER[raw[lo:hi]]
-            starts, ends = runs(WORD[low], offsets - lo)
-            if not len(starts):
-                continue
+def _words_of(batch):
+    """Ranges of a batch of (text, lang): lower-cased bytes, where their words start and end, the id of each word, its row, and
+    a number that changes between pieces."""
+    raw, offsets = string_bytes(batch.column(0))
+    # mixed once more: a word that is spelled like its language must not cancel it
+    salt = mix(string_hashes(batch.column(1)) + np.uint64(0x9E3779B97F4A7C15))
+    for lo, hi in ranges(raw, offsets, PIECE):
+        low = LOWER[raw[lo:hi]]
+        starts, ends = runs(WORD[low], offsets - lo)
+        if len(starts):
             row = np.searchsorted(offsets, starts + lo, "right") - 1
-            ids = mix(run_ids(low, starts, ends) ^ salt[row])
             piece = np.concatenate([[0], np.cumsum(PIECE[low])])[starts] + row
-            at, found = _blocks(ids, np.concatenate([[True], np.diff(piece) > 0]))
-            yield _batch(_WORDS, at=at, ids=found)
-            some, first, count = np.unique(ids, return_index=True, return_counts=True)
-            words = pa.array(cut(low, starts[first], ends[first]), pa.binary()).cast(pa.string())
-            yield _batch(_WORDS, lang=batch.column(1).take(pa.array(row[first])), word=words,
-                         id=pa.array(some.view(np.int64)), n=pa.array(count))
+            yield low, starts, ends, mix(run_ids(low, starts, ends) ^ salt[row]), row, piece
+
+
+def _count_words(batches):
+    """(text, lang) → counts of the words of a range of texts."""
+    for batch in batches:
+        for _, _, _, ids, _, _ in _words_of(batch):
+            some, count = np.unique(ids, return_counts=True)
+            yield _batch(_COUNTS, id=pa.array(some.view(np.int64)), n=pa.array(count))
+
+
+def _occurrences(frequent):
+    """(text, lang) → the relation of frequent words, the spelling of each in a range of texts, and its languages' words.
+    Without ``frequent`` every word is taken."""
+    def run(batches):
+        for batch in batches:
+            for low, starts, ends, ids, row, piece in _words_of(batch):
+                langs, lengths = np.unique(batch.column(1).take(pa.array(row)).to_numpy(zero_copy_only=False), return_counts=True)
+                yield _batch(_WORDS, lang=pa.array(langs, pa.string()), n=pa.array(lengths))
+                keep = np.arange(len(ids)) if frequent is None else np.flatnonzero(_member(ids, frequent.value))
+                if not len(keep):
+                    continue
+                at, found = _blocks(ids[keep], np.concatenate([[True], (np.diff(keep) > 1) | (np.diff(piece[keep]) > 0)]))
+                yield _batch(_WORDS, at=at, ids=found)
+                some, first = np.unique(ids[keep], return_index=True)
+                first = keep[first]
+                words = pa.array(cut(low, starts[first], ends[first]), pa.binary()).cast(pa.string())
+                yield _batch(_WORDS, id=pa.array(some.view(np.int64)), lang=batch.column(1).take(pa.array(row[first])), word=words)
+    return run
 
 
 def _flat(batch):
@@ -103,14 +124,11 @@ def _counted(ids, pairs):
     return _batch(_GROUPS, id=pa.array(some.view(np.int64)), n=pa.array(count))
 
 
-def _count_pairs(frequent):
-    """Relation of words → counts of pairs of frequent words."""
-    def run(batches):
-        for batch in batches:
-            ids, pairs = _flat(batch)
-            keep = _member(ids, frequent.value)
-            yield _counted(ids, pairs[keep[pairs] & keep[pairs + 1]])
-    return run
+def _count_pairs(batches):
+    """Relation of frequent words → counts of their pairs."""
+    for batch in batches:
+        ids, pairs = _flat(batch)
+        yield _counted(ids, pairs).select(["id", "n"])
 
 
 def _extend(frequent, last):
@@ -174,25 +192,41 @@ def _kept(rows, frequent, names):
     return back.select(*[F.col(f"_rows.{n}").alias(n) for n in names])
 
 
-def _pass(relation, frequent, k, last, broadcast_ids):
-    """Next table of the mining: for k = 1 the counts of pairs, else all that length k brings."""
-    spark = relation.sparkSession
-    if frequent.count() <= broadcast_ids:
-        known = np.sort(frequent.select("id").toArrow().column(0).to_numpy().view(np.uint64))
-        known = spark.sparkContext.broadcast(known)
-        return relation.mapInArrow(_count_pairs(known) if k == 1 else _extend(known, last), GROUPS)
-    if k == 1:
-        return _kept(relation, frequent, ["at", "ids"]).mapInArrow(_count_kept, GROUPS)
+def _known(frequent, broadcast_ids):
+    """Sorted ids of ``frequent`` as a broadcast, None if they are more than ``broadcast_ids``."""
+    if frequent.count() > broadcast_ids:
+        return None
+    return frequent.sparkSession.sparkContext.broadcast(np.sort(frequent.select("id").toArrow().column(0).to_numpy().view(np.uint64)))
+
+
+def _first_relation(texts, frequent, broadcast_ids):
+    """(table of the spellings and languages, relation of the frequent words)."""
+    known = _known(frequent, broadcast_ids)
+    table = stage_table(texts.mapInArrow(_occurrences(known), WORDS), "phrases-1")
+    relation = table.where("at is not null").select("at", "ids")
+    if known is None:
+        kept = _kept(relation, frequent, ["at", "ids"]).mapInArrow(_reblocked, RELATION)
+        relation = stage_table(kept, "phrases-1")
+    return table, relation
+
+
+def _extended(relation, frequent, last, broadcast_ids):
+    """All that the next length brings: its relation, the parts of its groups, counts of one word more."""
+    known = _known(frequent, broadcast_ids)
+    if known is not None:
+        return relation.mapInArrow(_extend(known, last), GROUPS)
     pairs = relation.mapInArrow(_pairs_of, f"{RELATION}, left array<long>, right array<long>").where(F.size("at") > 0)
     return _kept(pairs, frequent, ["at", "ids", "left", "right"]).mapInArrow(_regrown(last), GROUPS)
 
 
-def _count_kept(batches):
+def _reblocked(batches):
+    """Rows (at, ids) with gaps → blocks whose positions run on where words were adjacent."""
     for batch in batches:
-        at = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-        ids = batch.column(1).flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+        at, ids = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in range(2))
         owner = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(0).offsets.to_numpy()))
-        yield _counted(ids, np.flatnonzero((np.diff(at) == 1) & (np.diff(owner) == 0)))
+        if len(ids):
+            fresh = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(owner) != 0)])
+            yield pa.RecordBatch.from_arrays(_blocks(ids.view(np.uint64), fresh), ["at", "ids"])
 
 
 def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_IDS):
@@ -208,19 +242,21 @@ def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_ID
     """
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
-    table = stage_table(texts.mapInArrow(_occurrences, WORDS), "phrases-1")
-    words = table.where("word is not null").groupBy("lang", "word").agg(F.sum("n").alias("f"), F.first("id").alias("id"))
-    words = stage_table(words, "words")
-    totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
+
+    def frequent_in(counts, k):
+        return stage_table(counts.groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least), f"counts-{k}")
+
+    frequent = frequent_in(texts.mapInArrow(_count_words, "id long, n long"), 1)
+    table, relation = _first_relation(texts, frequent, broadcast_ids)
+    spelled = table.where("word is not null").groupBy("id").agg(F.first("lang").alias("lang"), F.first("word").alias("phrase"))
+    totals = table.where("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
     nothing = F.array().cast("array<long>")
-    level = stage_table(words.where(F.col("f") >= least).select("id", "lang", F.col("word").alias("phrase"), "f", nothing.alias("heads"), nothing.alias("tails")), "frequent-1")
-    relation = table.where("at is not null").select("at", "ids")
-    counted = stage_table(_pass(relation, level, 1, False, broadcast_ids), "phrases-pairs")
+    level = stage_table(frequent.join(spelled, "id").select("id", "lang", "phrase", "f", nothing.alias("heads"), nothing.alias("tails")), "frequent-1")
+    counts = relation.mapInArrow(_count_pairs, "id long, n long")
     found = []
     for k in range(2, longest + 1):
-        frequent = stage_table(
-            counted.where("n is not null").groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least), f"counts-{k}")
-        table = stage_table(_pass(relation, frequent, k, k == longest, broadcast_ids), f"phrases-{k}")
+        frequent = frequent_in(counts, k)
+        table = stage_table(_extended(relation, frequent, k == longest, broadcast_ids), f"phrases-{k}")
         parts = table.where("left is not null").groupBy("id").agg(F.first("left").alias("left"), F.first("right").alias("right"))
         head = level.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("_start"), F.col("f").alias("_l"), "heads")
         tail = level.select(F.col("id").alias("right"), F.substring_index("phrase", " ", -1).alias("_end"), F.col("f").alias("_r"), "tails")
@@ -229,7 +265,7 @@ def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_ID
                 "id", "lang", F.concat_ws(" ", "_start", "_end").alias("phrase"), "f", "left", "right",
                 F.concat("heads", F.array("_l")).alias("heads"), F.concat("tails", F.array("_r")).alias("tails")), f"frequent-{k}")
         found.append(level)
-        relation, counted = table.where("at is not null").select("at", "ids"), table
+        relation, counts = table.where("at is not null").select("at", "ids"), table.where("n is not null").select("id", "n")
     rows = []
     for k, part in enumerate(found, 2):
         part = part.drop("left", "right").withColumn("length", F.lit(k))

@@ -9,7 +9,7 @@ import numpy as np
 from tapework.llm.words import _INVERSE, _P, _powers, mix
 
 #: Bytes worked on at once.
-RANGE_BYTES = 4 << 20
+RANGE_BYTES = 2 << 20
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
