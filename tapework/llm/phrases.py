@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tapework.llm.common import whole_groups
 from tapework.llm.tokens import LOWER, byte_class, cut, ranges, run_ids, runs
 from tapework.llm.words import mix, string_bytes, string_hashes
 from tapework.session import stage_table
@@ -23,6 +24,8 @@ TOP = 2_000
 BLOCK = 256
 #: Frequent groups up to this many (32 MB of ids) are broadcast for the semi-join; more are joined by a shuffle.
 BROADCAST_IDS = 1 << 22
+#: Bits of the rough count of phrases beyond those of the number of words.
+FILTER_BITS = 6
 #: Rows that one task ranks.
 RANK_ROWS = 50_000
 
@@ -52,10 +55,10 @@ def _batch(schema, **columns):
 
 _WORDS = pa.schema([("at", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("id", pa.int64()), ("n", pa.int64()),
                     ("lang", pa.string()), ("word", pa.string())])
-_GROUPS = pa.schema([*list(_WORDS)[:4], ("left", pa.int64()), ("right", pa.int64())])
+_GROUPS = pa.schema([*list(_WORDS)[:3], ("left", pa.int64()), ("right", pa.int64())])
 _COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 WORDS = f"{RELATION}, id long, n long, lang string, word string"
-GROUPS = f"{RELATION}, id long, n long, left long, right long"
+GROUPS = f"{RELATION}, id long, left long, right long"
 
 
 def _words_of(batch):
@@ -87,8 +90,8 @@ def _occurrences(frequent):
     def run(batches):
         for batch in batches:
             for low, starts, ends, ids, row, piece in _words_of(batch):
-                langs, lengths = np.unique(batch.column(1).take(pa.array(row)).to_numpy(zero_copy_only=False), return_counts=True)
-                yield _batch(_WORDS, lang=pa.array(langs, pa.string()), n=pa.array(lengths))
+                held, lengths = np.unique(row, return_counts=True)
+                yield _batch(_WORDS, lang=batch.column(1).take(pa.array(held)), n=pa.array(lengths))
                 keep = np.arange(len(ids)) if frequent is None else np.flatnonzero(_member(ids, frequent.value))
                 if not len(keep):
                     continue
@@ -118,21 +121,72 @@ def _member(ids, wanted):
     return wanted[np.minimum(np.searchsorted(wanted, ids), len(wanted) - 1)] == ids
 
 
-def _counted(ids, pairs):
-    """Counts of the phrases that the adjacent occurrences ``pairs`` and ``pairs`` + 1 make."""
-    some, count = np.unique(_joined(ids[pairs], ids[pairs + 1]), return_counts=True)
-    return _batch(_GROUPS, id=pa.array(some.view(np.int64)), n=pa.array(count))
+def _sketch(bits, part_bits):
+    """Relation of length k → rows (part, keys, counts): the phrases of k + 1 words of a batch, by the first ``bits`` of their
+    ids, sorted and cut into parts by the first ``part_bits``. Keys are steps from one to the next; the bytes of steps and
+    counts are written plane by plane, of which the upper ones are nearly empty and vanish in the shuffle's compression."""
+    def run(batches):
+        for batch in batches:
+            ids, pairs = _flat(batch)
+            keys, counts = np.unique(_joined(ids[pairs], ids[pairs + 1]) >> np.uint64(64 - bits), return_counts=True)
+            if not len(keys):
+                continue
+            part = keys >> np.uint64(bits - part_bits)
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            steps = np.diff(keys, prepend=np.uint64(0))
+            steps[first] = keys[first] - (part[first] << np.uint64(bits - part_bits))
+            ends = np.append(first[1:], len(keys)).tolist()
+            yield pa.RecordBatch.from_arrays([
+                pa.array(part[first].astype(np.int64)),
+                pa.array([_planes(steps[a:b]) for a, b in zip(first.tolist(), ends)], pa.binary()),
+                pa.array([_planes(counts[a:b].astype(np.uint64)) for a, b in zip(first.tolist(), ends)], pa.binary())], ["part", "keys", "counts"])
+    return run
 
 
-def _count_pairs(batches):
-    """Relation of frequent words → counts of their pairs."""
-    for batch in batches:
-        ids, pairs = _flat(batch)
-        yield _counted(ids, pairs).select(["id", "n"])
+def _planes(values):
+    return values.view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _values(planes):
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def _dense(least, bits, part_bits):
+    """Rows of ``_sketch`` sorted by part → the keys that occur at least ``least`` times."""
+    def run(batches):
+        for group in whole_groups(batches, ["part"]):
+            for part, (first, last) in _bounds(group.column("part").to_numpy()):
+                rows = group.slice(first, last - first)
+                keys = np.concatenate([np.cumsum(_values(x)) for x in rows.column("keys").to_pylist()])
+                counts = np.concatenate([_values(x) for x in rows.column("counts").to_pylist()])
+                order = np.argsort(keys, kind="stable")
+                keys, counts = keys[order], counts[order]
+                start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+                held = keys[start][np.add.reduceat(counts, start) >= least] + (np.uint64(part) << np.uint64(bits - part_bits))
+                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], ["id"])
+    return run
+
+
+def _bounds(parts):
+    first = np.flatnonzero(np.concatenate([[True], parts[1:] != parts[:-1]]))
+    return zip(parts[first].tolist(), zip(first.tolist(), np.append(first[1:], len(parts)).tolist()))
+
+
+def _count_pairs(known, bits):
+    """Relation of length k → counts of the phrases of k + 1 words whose first ``bits`` are among ``known``; of all without it."""
+    def run(batches):
+        for batch in batches:
+            ids, pairs = _flat(batch)
+            joined = _joined(ids[pairs], ids[pairs + 1])
+            if known is not None:
+                joined = joined[_member(joined >> np.uint64(64 - bits), known.value)]
+            some, count = np.unique(joined, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(count)], ["id", "n"])
+    return run
 
 
 def _extend(frequent, last):
-    """Relation of length k - 1 → the frequent part of that of length k, its groups, and counts of length k + 1."""
+    """Relation of length k - 1 → the frequent part of that of length k, and the parts of its groups."""
     def run(batches):
         for batch in batches:
             ids, pairs = _flat(batch)
@@ -150,7 +204,6 @@ def _grown(joined, pairs, ids, last):
     fresh = np.concatenate([[True], np.diff(pairs) > 1])
     at, found = _blocks(joined, fresh)
     yield _batch(_GROUPS, at=at, ids=found)
-    yield _counted(joined, np.flatnonzero(~fresh[1:]))
 
 
 def _pairs_of(batches):
@@ -180,7 +233,6 @@ def _regrown(last):
             fresh = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(owner) != 0)])
             columns = _blocks(ids, fresh)
             yield _batch(_GROUPS, at=columns[0], ids=columns[1])
-            yield _counted(ids, np.flatnonzero(~fresh[1:]))
     return run
 
 
@@ -211,7 +263,7 @@ def _first_relation(texts, frequent, broadcast_ids):
 
 
 def _extended(relation, frequent, last, broadcast_ids):
-    """All that the next length brings: its relation, the parts of its groups, counts of one word more."""
+    """What the next length brings: its relation and the parts of its groups."""
     known = _known(frequent, broadcast_ids)
     if known is not None:
         return relation.mapInArrow(_extend(known, last), GROUPS)
@@ -219,6 +271,19 @@ def _extended(relation, frequent, last, broadcast_ids):
     return _kept(pairs, frequent, ["at", "ids", "left", "right"]).mapInArrow(_regrown(last), GROUPS)
 
 
+def _next_counts(relation, least, words, broadcast_ids):
+    """Counts of the phrases one word longer than those of ``relation``, of which those below ``least`` may be missing.
+
+    Most such phrases are rare. So they are first counted by the first bits of their ids, some more bits than there are
+    ``words``, and then those whose bits occur often enough are counted by their whole ids.
+    """
+    bits = min(64, max(16, words.bit_length() + FILTER_BITS))
+    part_bits = max(6, words.bit_length() - 17)
+    sketch = relation.mapInArrow(_sketch(bits, part_bits), "part long, keys binary, counts binary")
+    dense = stage_table(sketch.repartition("part").sortWithinPartitions("part").mapInArrow(_dense(least, bits, part_bits), "id long"), "dense")
+    return relation.mapInArrow(_count_pairs(_known(dense, broadcast_ids), bits), "id long, n long")
+
+
 def _reblocked(batches):
     """Rows (at, ids) with gaps → blocks whose positions run on where words were adjacent."""
     for batch in batches:
@@ -252,10 +317,10 @@ def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_ID
     totals = table.where("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
     nothing = F.array().cast("array<long>")
     level = stage_table(frequent.join(spelled, "id").select("id", "lang", "phrase", "f", nothing.alias("heads"), nothing.alias("tails")), "frequent-1")
-    counts = relation.mapInArrow(_count_pairs, "id long, n long")
+    n_words = totals.agg(F.sum("n")).first()[0] or 0
     found = []
     for k in range(2, longest + 1):
-        frequent = frequent_in(counts, k)
+        frequent = frequent_in(_next_counts(relation, least, n_words, broadcast_ids), k)
         table = stage_table(_extended(relation, frequent, k == longest, broadcast_ids), f"phrases-{k}")
         parts = table.where("left is not null").groupBy("id").agg(F.first("left").alias("left"), F.first("right").alias("right"))
         head = level.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("_start"), F.col("f").alias("_l"), "heads")
@@ -265,7 +330,7 @@ def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_ID
                 "id", "lang", F.concat_ws(" ", "_start", "_end").alias("phrase"), "f", "left", "right",
                 F.concat("heads", F.array("_l")).alias("heads"), F.concat("tails", F.array("_r")).alias("tails")), f"frequent-{k}")
         found.append(level)
-        relation, counts = table.where("at is not null").select("at", "ids"), table.where("n is not null").select("id", "n")
+        relation = table.where("at is not null").select("at", "ids")
     rows = []
     for k, part in enumerate(found, 2):
         part = part.drop("left", "right").withColumn("length", F.lit(k))
