@@ -38,6 +38,24 @@ def dim_company(companies):
     return number_rows(companies, "ticker", "empresa_id").select(DIM_COMPANY.names)
 
 
+def company_keys(companies, known=None):
+    """``(ticker, empresa_id)`` of every ticker ever seen: those of the map ``known`` keep their key, also when their company
+    is gone, and new ones follow behind the highest key in ticker order."""
+    tickers = companies.select("ticker")
+    if known is None:
+        return number_rows(tickers, "ticker", "empresa_id")
+    fresh = number_rows(tickers.join(known, "ticker", "left_anti"), "ticker", "empresa_id")
+    # one row: the highest key given so far
+    highest = known.agg(F.coalesce(F.max("empresa_id"), F.lit(0)).alias("_highest"))
+    shifted = fresh.select("ticker", (F.col("empresa_id") + highest.scalar()).alias("empresa_id"))
+    return known.select("ticker", "empresa_id").unionByName(shifted)
+
+
+def keyed_companies(companies, keys):
+    """The company dimension with the keys of a stored map."""
+    return companies.join(keys, "ticker").select(DIM_COMPANY.names)
+
+
 def dim_calendar(days):
     """Calendar attributes of a relation with one ``data`` column."""
     day = F.col("data")

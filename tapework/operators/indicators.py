@@ -40,7 +40,7 @@ def indicator_columns(base, w, averages=AVERAGE_WINDOWS, volatilities=VOLATILITY
         **{f"pregoes_janela_{n}d": W.window_fill(n, "_position") for n in averages},
     })
     rolled = W.rolling(
-        returns, w, "_position",
+        returns, w,
         means={PRICE: {f"media_movel_{n}d": n for n in averages}},
         deviations={"retorno_log": {f"volatilidade_{n}d": n for n in volatilities}},
     )

@@ -109,13 +109,14 @@ RELATIONSHIPS = {
 }
 
 
-def run_checks(tables, tickers):
+def run_checks(tables, tickers, whole=None):
     """Report of all declared checks: one row per check with its number of violations.
 
     All row-level checks of a table are counted in one pass over it; uniqueness and relationship
-    checks take one aggregation or anti join each. ``tables`` should be written tables.
+    checks take one aggregation or anti join each. ``tables`` should be written tables. Where they hold
+    only the years a run has touched, ``whole`` has the tables that first sessions are looked up in.
     """
-    reports = []
+    reports, whole = [], whole or {}
 
     def report(table, names, counted):
         rows = F.array(*[
@@ -139,7 +140,7 @@ def run_checks(tables, tickers):
         for column, parent in RELATIONSHIPS.get(table, []):
             grouped[f"relationships_{column}"] = relationships(df, column, tables[parent], column)
         if table == "mart_indicadores_diarios":
-            grouped["retorno_primeiro_pregao_nulo"] = first_session_return(df)
+            grouped["retorno_primeiro_pregao_nulo"] = first_session_return(whole.get(table, df))
         for name, rows in grouped.items():
             report(table, [name], rows.agg(F.count(F.lit(1)).alias("c0")))
 

@@ -6,14 +6,11 @@ from dataclasses import dataclass
 from pyspark.sql import functions as F
 
 from tapework.operators import quality
+from tapework.plans.refresh import refresh
 from tapework.plans.reports import coverage_report
-from tapework.plans.warehouse import Warehouse
-from tapework.schemas import DIVIDENDS, GRANULARITY, QUOTES, assert_schema
+from tapework.schemas import DIVIDENDS, QUOTES, assert_schema
 from tapework.session import stage_table
-from tapework.sinks.layers import create_layer, create_view, materialize, register
 from tapework.sinks.partitioned import write_dividends, write_quotes
-from tapework.sources.generated import calendar_days
-from tapework.sources.raw import read_companies, read_raw_dividends, read_raw_quotes
 from tapework.sources.vendor import normalize_vendor_bars
 
 # Years of history of a full load, counted as 365 days, unless the caller asks for others.
@@ -89,34 +86,14 @@ class DailyRun:
 
 
 def run_daily(spark, run, quotes_source, dividends_source, today):
-    """Load one day, refresh all models, check them; a failed check fails the run."""
+    """Load one day, continue all models from it, check them, then show them; a failed check fails the run and leaves what
+    readers see."""
     load_quotes(quotes_source, run.quotes_path, "diario", today, granularity=run.granularity)
     load_dividends(dividends_source, run.dividends_path, "incremental", today)
-    return refresh(spark, run)
-
-
-def refresh(spark, run):
-    """Rebuild staging and marts from the raw layer and return the check report."""
-    staging, marts = run.layers
-    for layer in (run.raw_layer, *run.layers):
-        create_layer(spark, layer, run.root)
-    warehouse = Warehouse(
-        read_raw_quotes(spark, run.quotes_path, run.granularity),
-        read_raw_dividends(spark, run.dividends_path),
-        read_companies(spark, run.companies_csv),
-        calendar_days(spark, run.calendar_start, run.calendar_end),
-        write=lambda df, name: materialize(df, marts, name, "table", run.root),
-    )
-    tables = warehouse.written()
-    folders = GRANULARITY[run.granularity]
-    register(warehouse.raw_quotes.select(*QUOTES.names, *folders), run.raw_layer, "cotacoes", run.quotes_path, folders)
-    register(warehouse.raw_dividends, run.raw_layer, "dividendos", run.dividends_path, GRANULARITY["year"])
-    names = {"raw": run.raw_layer, "staging": staging, "marts": marts}
-    for layer, name in ((staging, "stg_cotacoes"), (staging, "stg_dividendos"), (marts, "fato_dividendos")):
-        create_view(spark, layer, name, names)
-    report = stage_table(quality.run_checks(tables, run.tickers), "checks")
-    # the report holds one row per declared check
-    failed = [r.teste for r in report.where(~F.col("aprovado")).collect()]
-    if failed:
-        raise RuntimeError(f"failed checks: {', '.join(sorted(failed))}")
-    return report
+    return refresh(spark, run, today)
+
+
+def run_range(spark, run, quotes_source, start, end):
+    """Load the days ``start`` to ``end`` again, as a late correction, and bring the models up from ``start`` on."""
+    load_quotes(quotes_source, run.quotes_path, "range", end, start, end, run.granularity)
+    return refresh(spark, run, start)

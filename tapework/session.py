@@ -59,4 +59,12 @@ def stage_table(df, label):
     spark = df.sparkSession
     path = fresh_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.staged_at = path
+    return table
+
+
+def unstage(table):
+    """Delete the files of a table of ``stage_table`` that no plan will read again."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table.staged_at)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
