@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tapework.llm.common import whole_groups
 from tapework.llm.tokens import LOWER, byte_class, cut, ranges, run_ids, runs
 from tapework.llm.words import mix, string_bytes, string_hashes
-from tapework.session import stage_table
+from tapework.session import stage_table, unstage
 
 LEAST_COUNT = 100
 LONGEST = 5
@@ -121,14 +121,18 @@ def _member(ids, wanted):
     return wanted[np.minimum(np.searchsorted(wanted, ids), len(wanted) - 1)] == ids
 
 
-def _sketch(bits, part_bits):
+def _sketch(bits, part_bits, known=None, known_bits=64):
     """Relation of length k → rows (part, keys, counts): the phrases of k + 1 words of a batch, by the first ``bits`` of their
-    ids, sorted and cut into parts by the first ``part_bits``. Keys are steps from one to the next; the bytes of steps and
-    counts are written plane by plane, of which the upper ones are nearly empty and vanish in the shuffle's compression."""
+    ids, sorted and cut into parts by the first ``part_bits``; with ``known`` only those whose first ``known_bits`` are in it.
+    Keys are steps from one to the next; the bytes of steps and counts are written plane by plane, of which the upper ones
+    are nearly empty and vanish in the shuffle's compression."""
     def run(batches):
         for batch in batches:
             ids, pairs = _flat(batch)
-            keys, counts = np.unique(_joined(ids[pairs], ids[pairs + 1]) >> np.uint64(64 - bits), return_counts=True)
+            joined = _joined(ids[pairs], ids[pairs + 1])
+            if known is not None:
+                joined = joined[_member(joined >> np.uint64(64 - known_bits), known.value)]
+            keys, counts = np.unique(joined >> np.uint64(64 - bits), return_counts=True)
             if not len(keys):
                 continue
             part = keys >> np.uint64(bits - part_bits)
@@ -152,7 +156,7 @@ def _values(planes):
 
 
 def _dense(least, bits, part_bits):
-    """Rows of ``_sketch`` sorted by part → the keys that occur at least ``least`` times."""
+    """Rows of ``_sketch`` sorted by part → (id, f): the keys that occur at least ``least`` times, with their counts."""
     def run(batches):
         for group in whole_groups(batches, ["part"]):
             for part, (first, last) in _bounds(group.column("part").to_numpy()):
@@ -162,8 +166,9 @@ def _dense(least, bits, part_bits):
                 order = np.argsort(keys, kind="stable")
                 keys, counts = keys[order], counts[order]
                 start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-                held = keys[start][np.add.reduceat(counts, start) >= least] + (np.uint64(part) << np.uint64(bits - part_bits))
-                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64))], ["id"])
+                total = np.add.reduceat(counts, start)
+                held = keys[start][total >= least] + (np.uint64(part) << np.uint64(bits - part_bits))
+                yield pa.RecordBatch.from_arrays([pa.array(held.view(np.int64)), pa.array(total[total >= least].astype(np.int64))], ["id", "f"])
     return run
 
 
@@ -172,19 +177,6 @@ def _bounds(parts):
     return zip(parts[first].tolist(), zip(first.tolist(), np.append(first[1:], len(parts)).tolist()))
 
 
-def _count_pairs(known, bits):
-    """Relation of length k → counts of the phrases of k + 1 words whose first ``bits`` are among ``known``; of all without it."""
-    def run(batches):
-        for batch in batches:
-            ids, pairs = _flat(batch)
-            joined = _joined(ids[pairs], ids[pairs + 1])
-            if known is not None:
-                joined = joined[_member(joined >> np.uint64(64 - bits), known.value)]
-            some, count = np.unique(joined, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(count)], ["id", "n"])
-    return run
-
-
 def _extend(frequent, last):
     """Relation of length k - 1 → the frequent part of that of length k, and the parts of its groups."""
     def run(batches):
@@ -271,17 +263,23 @@ def _extended(relation, frequent, last, broadcast_ids):
     return _kept(pairs, frequent, ["at", "ids", "left", "right"]).mapInArrow(_regrown(last), GROUPS)
 
 
-def _next_counts(relation, least, words, broadcast_ids):
-    """Counts of the phrases one word longer than those of ``relation``, of which those below ``least`` may be missing.
+def _frequent(relation, least, words, broadcast_ids):
+    """Phrases (id, f) one word longer than those of ``relation`` that occur at least ``least`` times.
 
     Most such phrases are rare. So they are first counted by the first bits of their ids, some more bits than there are
     ``words``, and then those whose bits occur often enough are counted by their whole ids.
     """
     bits = min(64, max(16, words.bit_length() + FILTER_BITS))
     part_bits = max(6, words.bit_length() - 17)
-    sketch = relation.mapInArrow(_sketch(bits, part_bits), "part long, keys binary, counts binary")
-    dense = stage_table(sketch.repartition("part").sortWithinPartitions("part").mapInArrow(_dense(least, bits, part_bits), "id long"), "dense")
-    return relation.mapInArrow(_count_pairs(_known(dense, broadcast_ids), bits), "id long, n long")
+
+    def counted(bits, **known):
+        rows = relation.mapInArrow(_sketch(bits, part_bits, **known), "part long, keys binary, counts binary")
+        return rows.repartition("part").sortWithinPartitions("part").mapInArrow(_dense(least, bits, part_bits), "id long, f long")
+
+    dense = stage_table(counted(bits), "dense")
+    frequent = stage_table(counted(64, known=_known(dense, broadcast_ids), known_bits=bits), "frequent")
+    unstage(dense)
+    return frequent
 
 
 def _reblocked(batches):
@@ -307,21 +305,20 @@ def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_ID
     """
     texts = docs.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
                         F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN)).alias("lang"))
-
-    def frequent_in(counts, k):
-        return stage_table(counts.groupBy("id").agg(F.sum("n").alias("f")).where(F.col("f") >= least), f"counts-{k}")
-
-    frequent = frequent_in(texts.mapInArrow(_count_words, "id long, n long"), 1)
+    counts = texts.mapInArrow(_count_words, "id long, n long").groupBy("id").agg(F.sum("n").alias("f"))
+    frequent = stage_table(counts.where(F.col("f") >= least), "frequent")
     table, relation = _first_relation(texts, frequent, broadcast_ids)
     spelled = table.where("word is not null").groupBy("id").agg(F.first("lang").alias("lang"), F.first("word").alias("phrase"))
-    totals = table.where("n is not null").groupBy("lang").agg(F.sum("n").alias("n"))
+    totals = stage_table(table.where("n is not null").groupBy("lang").agg(F.sum("n").alias("n")), "totals")
     nothing = F.array().cast("array<long>")
     level = stage_table(frequent.join(spelled, "id").select("id", "lang", "phrase", "f", nothing.alias("heads"), nothing.alias("tails")), "frequent-1")
     n_words = totals.agg(F.sum("n")).first()[0] or 0
     found = []
     for k in range(2, longest + 1):
-        frequent = frequent_in(_next_counts(relation, least, n_words, broadcast_ids), k)
-        table = stage_table(_extended(relation, frequent, k == longest, broadcast_ids), f"phrases-{k}")
+        frequent = _frequent(relation, least, n_words, broadcast_ids)
+        longer = stage_table(_extended(relation, frequent, k == longest, broadcast_ids), f"phrases-{k}")
+        unstage(table)
+        table = longer
         parts = table.where("left is not null").groupBy("id").agg(F.first("left").alias("left"), F.first("right").alias("right"))
         head = level.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("_start"), F.col("f").alias("_l"), "heads")
         tail = level.select(F.col("id").alias("right"), F.substring_index("phrase", " ", -1).alias("_end"), F.col("f").alias("_r"), "tails")
