@@ -24,8 +24,8 @@ TOP = 2_000
 BLOCK = 256
 #: Frequent groups up to this many (32 MB of ids) are broadcast for the semi-join; more are joined by a shuffle.
 BROADCAST_IDS = 1 << 22
-#: Bits of the rough count of phrases beyond those of the number of words.
-FILTER_BITS = 6
+#: Rare phrases that share a slot of the rough count, as a part of the least count.
+SLOT_LOAD = 1 / 16
 #: Rows that one task ranks.
 RANK_ROWS = 50_000
 
@@ -55,10 +55,12 @@ def _batch(schema, **columns):
 
 _WORDS = pa.schema([("at", pa.list_(pa.int32())), ("ids", pa.list_(pa.int64())), ("id", pa.int64()), ("n", pa.int64()),
                     ("lang", pa.string()), ("word", pa.string())])
-_GROUPS = pa.schema([*list(_WORDS)[:3], ("left", pa.int64()), ("right", pa.int64())])
+_GROUPS = pa.schema([*list(_WORDS)[:2], ("part", pa.int64()), ("id", pa.binary()), ("left", pa.binary()), ("right", pa.binary())])
 _COUNTS = pa.schema([("id", pa.int64()), ("n", pa.int64())])
 WORDS = f"{RELATION}, id long, n long, lang string, word string"
-GROUPS = f"{RELATION}, id long, left long, right long"
+GROUPS = f"{RELATION}, part long, id binary, left binary, right binary"
+#: Parts by the first bits of an id in which groups are gathered.
+PART_BITS = 8
 
 
 def _words_of(batch):
@@ -85,9 +87,10 @@ def _count_words(batches):
 
 
 def _occurrences(frequent):
-    """(text, lang) → the relation of frequent words, the spelling of each in a range of texts, and its languages' words.
+    """(text, lang) → the relation of frequent words, the spelling of each, and the languages' words.
     Without ``frequent`` every word is taken."""
     def run(batches):
+        told = None if frequent is None else np.zeros(len(frequent.value), bool)
         for batch in batches:
             for low, starts, ends, ids, row, piece in _words_of(batch):
                 held, lengths = np.unique(row, return_counts=True)
@@ -99,6 +102,10 @@ def _occurrences(frequent):
                 yield _batch(_WORDS, at=at, ids=found)
                 some, first = np.unique(ids[keep], return_index=True)
                 first = keep[first]
+                if told is not None:  # a task spells a word once
+                    at = np.searchsorted(frequent.value, some)
+                    some, first = some[~told[at]], first[~told[at]]
+                    told[at] = True
                 words = pa.array(cut(low, starts[first], ends[first]), pa.binary()).cast(pa.string())
                 yield _batch(_WORDS, id=pa.array(some.view(np.int64)), lang=batch.column(1).take(pa.array(row[first])), word=words)
     return run
@@ -190,7 +197,7 @@ def _extend(frequent, last):
 
 def _grown(joined, pairs, ids, last):
     some, first = np.unique(joined, return_index=True)
-    yield _batch(_GROUPS, id=pa.array(some.view(np.int64)), left=pa.array(ids[pairs[first]].view(np.int64)), right=pa.array(ids[pairs[first] + 1].view(np.int64)))
+    yield _packed(some, ids[pairs[first]], ids[pairs[first] + 1])
     if last or not len(joined):
         return
     fresh = np.concatenate([[True], np.diff(pairs) > 1])
@@ -198,6 +205,25 @@ def _grown(joined, pairs, ids, last):
     yield _batch(_GROUPS, at=at, ids=found)
 
 
+def _packed(some, left, right):
+    """Sorted groups and their two parts, a row for each part of the ids."""
+    part = some >> np.uint64(64 - PART_BITS)
+    first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]])) if len(some) else np.zeros(0, np.int64)
+    cuts = list(zip(first.tolist(), np.append(first[1:], len(some)).tolist()))
+    return _batch(_GROUPS, part=pa.array(part[first].astype(np.int64)),
+                  **{name: pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for name, x in (("id", some), ("left", left), ("right", right))})
+
+
+def _unpacked(batches):
+    """Rows of ``_packed`` sorted by part → (id, left, right), each group once."""
+    for group in whole_groups(batches, ["part"]):
+        for _, (first, last) in _bounds(group.column("part").to_numpy()):
+            rows = group.slice(first, last - first)
+            ids, left, right = (np.concatenate([np.frombuffer(x, np.uint64) for x in rows.column(c).to_pylist()]) for c in ("id", "left", "right"))
+            some, at = np.unique(ids, return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(x.view(np.int64)) for x in (some, left[at], right[at])], ["id", "left", "right"])
+
+
 def _pairs_of(batches):
     """Relation of length k - 1 → rows of arrays (at, ids, left, right) of length k, nothing left out."""
     for batch in batches:
@@ -219,7 +245,7 @@ def _regrown(last):
             ids, left, right = (x.view(np.uint64) for x in (ids, left, right))
             owner = np.repeat(np.arange(batch.num_rows), np.diff(batch.column(0).offsets.to_numpy()))
             some, first = np.unique(ids, return_index=True)
-            yield _batch(_GROUPS, id=pa.array(some.view(np.int64)), left=pa.array(left[first].view(np.int64)), right=pa.array(right[first].view(np.int64)))
+            yield _packed(some, left[first], right[first])
             if last or not len(ids):
                 continue
             fresh = np.concatenate([[True], (np.diff(at) != 1) | (np.diff(owner) != 0)])
@@ -266,11 +292,11 @@ def _extended(relation, frequent, last, broadcast_ids):
 def _frequent(relation, least, words, broadcast_ids):
     """Phrases (id, f) one word longer than those of ``relation`` that occur at least ``least`` times.
 
-    Most such phrases are rare. So they are first counted by the first bits of their ids, some more bits than there are
-    ``words``, and then those whose bits occur often enough are counted by their whole ids.
+    Most such phrases are rare. So they are first counted in slots by the first bits of their ids, as many slots as keep the
+    rare ones of a slot far below ``least``, and then those of slots that reach it are counted by their whole ids.
     """
-    bits = min(64, max(16, words.bit_length() + FILTER_BITS))
-    part_bits = max(6, words.bit_length() - 17)
+    bits = min(60, max(16, int(words / (least * SLOT_LOAD)).bit_length()))
+    part_bits = min(bits, max(6, words.bit_length() - 17))
 
     def counted(bits, **known):
         rows = relation.mapInArrow(_sketch(bits, part_bits, **known), "part long, keys binary, counts binary")
@@ -319,7 +345,10 @@ def mine(docs, *, least=LEAST_COUNT, longest=LONGEST, broadcast_ids=BROADCAST_ID
         longer = stage_table(_extended(relation, frequent, k == longest, broadcast_ids), f"phrases-{k}")
         unstage(table)
         table = longer
-        parts = table.where("left is not null").groupBy("id").agg(F.first("left").alias("left"), F.first("right").alias("right"))
+        parts = (
+            table.where("part is not null").select("part", "id", "left", "right").repartition("part").sortWithinPartitions("part")
+            .mapInArrow(_unpacked, "id long, left long, right long")
+        )
         head = level.select(F.col("id").alias("left"), "lang", F.col("phrase").alias("_start"), F.col("f").alias("_l"), "heads")
         tail = level.select(F.col("id").alias("right"), F.substring_index("phrase", " ", -1).alias("_end"), F.col("f").alias("_r"), "tails")
         level = stage_table(
