@@ -2,9 +2,11 @@ import hashlib
 import random
 import re
 import string
+import time
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from odd_tables import none, odd, words  # noqa: F401
 from tapework.llm import secrets
@@ -61,6 +63,72 @@ def test_spans_of_patterns_stay(spark):
     assert r.spans == f"assign:0:38,random:43:{len(text)}"
 
 
+def test_short_grouped_and_partly_covered_tokens(spark):
+    rng = random.Random(8)
+    letters = string.ascii_letters + string.digits
+    random_ones, plain, labelled = samples(spark)
+    table = secrets.train(labelled)
+    def draw(n):
+        return "".join(rng.choice(letters) for _ in range(n))
+    tokens = [draw(n) for n in (12, 13, 14, 15) for _ in range(10)] + ["-".join(draw(8) for _ in range(4)) for _ in range(10)] + [".".join(draw(6) for _ in range(4)) for _ in range(10)]
+    names = ["get-user-name-list", "www.example.com", "document.index.value", "number_parse_count", "table-with-index-from"]
+    docs = spark.createDataFrame([(i, f"see {t}, there") for i, t in enumerate(tokens + names)], "doc_id long, text string")
+    got = {r.doc_id: r.spans for r in secrets.scan(docs, table).collect()}
+    assert sum(got[i] == f"random:4:{4 + len(t)}" for i, t in enumerate(tokens)) >= 0.9 * len(tokens)
+    assert not any(got[len(tokens) + i] for i in range(len(names)))
+    tail = "AKIA" + "Q7W2E9R4T6Y1U3I8" + random_ones[250].lower()
+    docs = spark.createDataFrame([(1, f"a {tail} b", 0)], "doc_id long, text string, n_chars long")
+    r, = secrets.scan(docs, table).collect()
+    stop = re.search("AKIA[A-Z0-9]+", f"a {tail} b").end()
+    assert r.spans == f"access:2:{stop},random:{stop}:{2 + len(tail)}"
+    assert secrets.mask(docs, table).first().text == "a [SECRET][SECRET] b"
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 40), st.integers(1, 12)), max_size=6), st.lists(st.tuples(st.integers(0, 6), st.integers(1, 12)), max_size=5))
+def test_parts_outside_of_spans(spark, fixed, gaps):
+    base = [(a, 0, a + n) for a, n in fixed]
+    free, at = [], 0
+    for gap, n in gaps:
+        free.append((at + gap, 3, at + gap + n))
+        at += gap + n
+    row = spark.createDataFrame([(base, free)], f"b {secrets._SPANS}, r {secrets._SPANS}")
+    got = [(s.start, s.end) for s in row.select(secrets._outside(F.col("b"), F.col("r")).alias("x")).first().x]
+    covered = {i for a, _, b in base for i in range(a, b)}
+    assert {i for a, b in got for i in range(a, b)} == {i for a, _, b in free for i in range(a, b)} - covered
+    assert sum(b - a for a, b in got) == len({i for a, b in got for i in range(a, b)}) and all(a < b for a, b in got)
+
+
+def test_ratio_is_the_sum_over_neighbours(spark):
+    rng = random.Random(4)
+    table = [round(rng.uniform(-3, 3), 4) for _ in range(len(secrets.ALPHABET) ** 2)]
+    tokens = ["abcABC012+/_=", "aa", "x", "ab-cd.ef", "Zz9=="]
+    got = spark.createDataFrame([(t,) for t in tokens], "t string").select(secrets.ratio(F.col("t"), table).alias("x")).collect()
+    def plain(t):
+        return sum(table[secrets.ALPHABET.index(a) * len(secrets.ALPHABET) + secrets.ALPHABET.index(b)]
+                   for a, b in zip(t, t[1:]) if a in secrets.ALPHABET and b in secrets.ALPHABET)
+    assert all(abs(r.x - plain(t)) < 1e-9 for r, t in zip(got, tokens))
+
+
+def test_time_grows_with_the_matches_of_a_text(spark):
+    random_ones, _, labelled = samples(spark)
+    table = secrets.train(labelled)
+    piece = "".join(f"see password=hunter{i:04} and é {t[:20]} 🙂\n" for i, t in enumerate(random_ones))
+    def seconds(times):
+        text = piece * times
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        began = time.time()
+        r, = secrets.scan(docs, table).collect()
+        masked = secrets.mask(docs, table).first().text
+        took = time.time() - began
+        assert r.n_assign == 300 * times and r.spans.split(",")[:300 * times] and r.base_sha256 == hashlib.sha256(base(text).encode()).hexdigest()
+        assert masked.count("[SECRET]") == len(r.spans.split(",")) and "hunter" not in masked and masked.count("é") == 300 * times
+        return took
+    seconds(2)
+    short, long = seconds(20), seconds(60)
+    assert long < 60 and long < 6 * short + 5
+
+
 def test_mask_keeps_rows_and_columns(spark, odd):
     docs = spark.createDataFrame([(1, "a password=hunter22 b 0123456789abcdef01234567 c", 0, "x"), (2, None, 5, "y"), (3, "🙂 plain", 7, None)],
                                  "doc_id long, text string, n_chars long, _spans string")
