@@ -16,6 +16,8 @@ YIELD_DAYS = 365
 
 # Days per block of the trailing sum; longer than the window so that an event reaches two blocks.
 YIELD_BLOCK_DAYS = 1461
+# Days per block of the interval join: an event reaches few blocks, and a block holds few sessions of a company.
+JOIN_BLOCK_DAYS = 182
 
 PRICE = "fechamento_ajustado"
 YIELD_KEYS = ["empresa_id", "tempo_id", "data", "fechamento_bruto"]
@@ -141,17 +143,35 @@ def _trailing_sum(quotes, events, group):
     )
 
 
-def dividend_yield_by_join(quotes_fact, dividends_fact, calendar):
-    """The same yield as a left range join, kept as the independent check of ``dividend_yield``."""
-    quotes = with_date(quotes_fact.select("empresa_id", "tempo_id", "fechamento"), calendar)
-    events = with_date(dividends_fact, calendar, "data_ex").select(
-        F.col("empresa_id").alias("event_id"), "data_ex", "valor_dividendo")
-    in_window = (
-        (F.col("event_id") == F.col("empresa_id"))
-        & (F.col("data_ex") > F.date_sub("data", YIELD_DAYS))
-        & (F.col("data_ex") <= F.col("data"))
+def dividend_yield_by_join(quotes_fact, dividends_fact, calendar, block_days=JOIN_BLOCK_DAYS, max_rows=MAX_ROWS_PER_KEY):
+    """The same yield as a left interval join, kept as the independent check of ``dividend_yield``.
+
+    Both sides are cut into blocks of days per company: a session lies in one block, an event is copied to the blocks that
+    its 365 days reach, and only rows of one block meet. Repeated sessions are collapsed and events summed per day before
+    the shuffle, so a block holds at most ``block_days`` + 364 events; sessions of a block above ``max_rows`` are spread over
+    parts that each get those events.
+    """
+    def block(day):
+        return F.floor(day / block_days)
+
+    dated = with_date(quotes_fact.select("empresa_id", "tempo_id", "fechamento"), calendar)
+    sessions = dated.withColumnRenamed("fechamento", "fechamento_bruto").groupBy(*YIELD_KEYS).agg(
+        F.count(F.lit(1)).alias("copies")).withColumn("block", block(F.unix_date("data")))
+    events = (
+        with_date(dividends_fact, calendar)
+        .groupBy("empresa_id", F.unix_date("data").alias("day")).agg(F.sum("valor_dividendo").alias("amount"))
+        .withColumn("block", F.explode(F.sequence(block(F.col("day")), block(F.col("day") + (YIELD_DAYS - 1)))))
     )
-    summed = quotes.join(events, in_window, "left").groupBy(
-        "empresa_id", "tempo_id", "data", F.col("fechamento").alias("fechamento_bruto")
-    ).agg(F.coalesce(F.sum("valor_dividendo"), F.lit(0.0)).alias("dividendos_12m"))
-    return summed.withColumn("dy_12m", ratio(F.col("dividendos_12m"), F.col("fechamento_bruto")))
+    keys = ["empresa_id", "block"]
+    parts = sessions.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / max_rows).alias("parts")).where(F.col("parts") > 1)
+    some = F.coalesce("parts", F.lit(1).cast("long"))
+    spread = sessions.join(parts, keys, "left").withColumn("part", F.pmod(F.xxhash64(*YIELD_KEYS), some)).drop("parts")
+    copied = events.join(parts, keys, "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), some - 1))).drop("parts")
+    since = F.unix_date("data") - F.col("day")
+    # a session and its events meet in one task, where their sum is taken before the last shuffle
+    pairs = spread.join(copied.withColumnsRenamed({c: f"_{c}" for c in (*keys, "part")}), (
+        (F.col("empresa_id") == F.col("_empresa_id")) & (F.col("block") == F.col("_block")) & (F.col("part") == F.col("_part"))
+        & since.between(0, YIELD_DAYS - 1)), "left")
+    summed = pairs.groupBy(*YIELD_KEYS, "copies").agg(F.coalesce(F.sum("amount"), F.lit(0.0)).alias("total"))
+    result = summed.select(*YIELD_KEYS, (F.col("total") * F.col("copies")).alias("dividendos_12m"))
+    return result.withColumn("dy_12m", ratio(F.col("dividendos_12m"), F.col("fechamento_bruto")))

@@ -12,13 +12,15 @@ from pyspark.sql import functions as F
 from tapework.functions import scalar as S
 from tapework.functions.aggregates import annualize, arg_max, arg_min
 from tapework.operators import facts, indicators, quality, sets, staging
-from tapework.operators.dimensions import dim_calendar, dim_company
+from tapework.operators.dimensions import company_keys, dim_calendar, dim_company, keyed_companies
 from tapework.plans import exploratory, loads, reports
+from tapework.plans.refresh import refresh
 from tapework.plans.warehouse import Warehouse
 from tapework.schemas import DIVIDENDS, EXCHANGE_ZONE, PRICE_COLUMNS, QUOTES, VENDOR_METRICS
 from tapework.session import fresh_path, stage_table
 from tapework.sinks.layers import create_layer, materialize
 from tapework.sinks.partitioned import write_dividends, write_quotes
+from tapework.sinks.versions import YEAR, Store
 from tapework.sources import market
 from tapework.sources.generated import calendar_days, days_between, literal_mapping
 from tapework.sources.raw import (
@@ -127,8 +129,9 @@ def calendar_of_data(spark, d):
 
 
 def sector_volume_literal(spark, d):
-    """Sector volume with the mapping written out as literals instead of the dimension."""
-    mapping = {r.ticker: r.setor for r in market.nation_companies(spark, d).collect()}
+    """Sector volume with the mapping of the 25 nations written out as literals instead of the dimension."""
+    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    mapping = {f"NATION_{i}": regions[i % 5] for i in range(25)}
     return exploratory.sector_volume(market.nation_quotes(spark, d), literal_mapping(spark, mapping))
 
 
@@ -183,7 +186,7 @@ def permanent_view(layer, name):
     """A view that a daily run left behind, read by another session of the same catalog."""
     def query(spark, d):
         run = _filled_run(spark, d)
-        loads.refresh(spark, run)
+        refresh(spark, run)
         names = {"raw": run.raw_layer, "staging": run.layers[0], "marts": run.layers[1]}
         return spark.newSession().table(f"{names[layer]}.{name}")
     return query
@@ -520,8 +523,8 @@ def loaded_dividends(spark, d):
     return read_raw_dividends(spark, path)
 
 
-def _filled_run(spark, d):
-    """A warehouse with its raw layer loaded and nothing refreshed yet."""
+def _filled_run(spark, d, last=TODAY):
+    """A warehouse with its raw layer loaded up to ``last`` and nothing refreshed yet."""
     seed = fresh_path(spark, "seed")
     market.nation_companies(spark, d).write.csv(seed, header=True, quoteAll=True, escape='"')
     run = loads.DailyRun(
@@ -529,7 +532,7 @@ def _filled_run(spark, d):
         granularity="month", layers=(f"staging_{(own := uuid.uuid4().hex[:8])}", f"marts_{own}"), raw_layer=f"raw_{own}")
     quotes = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
     dividends = stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing")
-    loads.load_quotes(quotes, run.quotes_path, "range", TODAY, market.CALENDAR_START, TODAY, "month")
+    loads.load_quotes(quotes, run.quotes_path, "range", last, market.CALENDAR_START, last, "month")
     loads.load_dividends(dividends, run.dividends_path, "inicial", TODAY)
     return run
 
@@ -542,6 +545,85 @@ def daily_run(spark, d):
     return loads.run_daily(spark, run, quotes, dividends, TODAY)
 
 
+#: The day from which the continued marts are refreshed, and the days of the late correction.
+CONTINUED = dt.date(2001, 3, 1)
+CORRECTED = dt.date(1999, 3, 10), dt.date(1999, 3, 24)
+
+
+def _landing(spark, d):
+    return (stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing"),
+            stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing"))
+
+
+def _published(run, spark):
+    return Store(spark, f"{run.root}/marts", run.layers[1])
+
+
+def _run_until(spark, d, last):
+    """A warehouse refreshed in full over the history up to ``last``."""
+    run = _filled_run(spark, d, last)
+    refresh(spark, run)
+    return run
+
+
+def continued(table, doubled=False):
+    """Marts of the history before ``CONTINUED``, then continued with the days from it on; with ``doubled`` dividends of the
+    current year."""
+    def query(spark, d):
+        run = _run_until(spark, d, CONTINUED - dt.timedelta(days=1))
+        quotes, dividends = _landing(spark, d)
+        if doubled:
+            current = F.year("data_ex") == TODAY.year
+            loads.load_dividends(dividends.withColumn("valor_dividendo", F.when(current, F.col("valor_dividendo") * 2).otherwise(
+                F.col("valor_dividendo"))), run.dividends_path, "incremental", TODAY)
+        loads.run_range(spark, run, quotes, CONTINUED, TODAY)
+        return _shown(spark, run, table)
+    return query
+
+
+def corrected(table):
+    """Marts of all history, then refreshed from a late correction on: doubled bars and volumes of two weeks."""
+    def query(spark, d):
+        run = _run_until(spark, d, TODAY)
+        quotes, _ = _landing(spark, d)
+        doubled = quotes.withColumns({c: F.col(c) * 2 for c in (*PRICE_COLUMNS, "volume")})
+        loads.run_range(spark, run, doubled, *CORRECTED)
+        return _shown(spark, run, table)
+    return query
+
+
+def _shown(spark, run, table):
+    rows = _published(run, spark).table(table)
+    return rounded(rows.drop(YEAR))
+
+
+def after_failed_run(spark, d):
+    """What readers see of the fact after a run whose checks failed: the rows of the run before."""
+    run = _run_until(spark, d, TODAY)
+    quotes, _ = _landing(spark, d)
+    broken = quotes.withColumn("maxima", F.when(F.col("maxima") > 0, F.col("minima") - 1))
+    try:
+        loads.run_range(spark, run, broken, *CORRECTED)
+    except RuntimeError:
+        return _shown(spark, run, "fato_cotacoes_diarias")
+    raise AssertionError("a run with broken bars was published")
+
+
+def stable_keys(spark, d):
+    """Keys of the companies when those of one region came a run later than the others."""
+    every = market.nation_companies(spark, d)
+    first = stage_table(company_keys(every.where(F.col("setor") != "AMERICA")), "keys")
+    return keyed_companies(every, company_keys(every, first))
+
+
+def on_published(report, *args, mart="mart_indicadores_diarios"):
+    """Reports that read the published marts: folders of other years and, for joins by company, exchanges are spared."""
+    def query(spark, d):
+        store = _published(_run_until(spark, d, TODAY), spark)
+        return rounded(report(store.table(mart), store.table("dim_empresa"), *args))
+    return query
+
+
 def house_table(name):
     return lambda spark, d: getattr(nations(spark, d), name)
 
@@ -576,6 +658,7 @@ QUERIES = {
     "p10_period_options": period_options,
     # dimensions, facts, marts
     "d1_dim_company": house_table("company"),
+    "d1_stable_keys": stable_keys,
     "d2_dim_calendar": calendar_of_data,
     "m1_fact_quotes": house_table("quotes_view"),
     "m2_fact_dividends": house_table("dividends"),
@@ -621,6 +704,10 @@ QUERIES = {
     "r2_date_range": ranges_of_all,
     "r2_date_range_of_ticker": range_of_ticker,
     "r3_indicator_series": on_daily(reports.indicator_series, TICKER, START, END),
+    "r3_published_series": on_published(reports.indicator_series, TICKER, START, END),
+    "r5_published_returns": on_published(reports.period_returns, START, END),
+    "r6_published_risk": on_published(reports.risk_return, START, END),
+    "r4_published_yield": on_published(reports.yield_series, TICKER, START, END, mart="mart_dividend_yield"),
     "r4_yield_series": on_yields(reports.yield_series, TICKER, START, END),
     "r5_period_returns": on_quotes(
         reports.period_returns, START, END),
@@ -679,4 +766,9 @@ QUERIES = {
     "l3_range_inside_filled_months": reloaded("year", dt.date(1997, 5, 15), dt.date(1997, 7, 9)),
     "l4_dividends_current_year": loaded_dividends,
     "l5_daily_run": daily_run,
+    "l5_continued_indicators": continued("mart_indicadores_diarios"),
+    "l5_continued_yield": continued("mart_dividend_yield", doubled=True),
+    "l5_corrected_indicators": corrected("mart_indicadores_diarios"),
+    "l5_corrected_summary": corrected("mart_indicadores_resumo"),
+    "k1_after_failed_run": after_failed_run,
 }

@@ -6,6 +6,7 @@ from tapework.functions.aggregates import arg_max, arg_min, sample_volatility
 from tapework.functions.scalar import percent, percent_text, period_start, ratio
 from tapework.operators.facts import with_company_id, with_date
 from tapework.operators.sets import missing_keys
+from tapework.sinks.versions import YEAR
 
 # Months of each period option (None = whole series).
 PERIODS = {"6 meses": 6, "1 ano": 12, "2 anos": 24, "Tudo": None}
@@ -34,7 +35,9 @@ def _of_ticker(mart, company, ticker):
 
 
 def _within(mart, start, end):
-    return mart.where(F.col("data").between(start, end))
+    """Rows of a period; a published mart also skips the folders of other years."""
+    rows = mart.where(F.col("data").between(start, end))
+    return rows.where(F.col(YEAR).between(start.year, end.year)).drop(YEAR) if YEAR in mart.columns else rows
 
 
 def period_starts(daily, company):
@@ -50,7 +53,8 @@ def period_starts(daily, company):
 
 def indicator_series(daily, company, ticker, start, end):
     """All indicator columns of one ticker in a period; NULLs of the first sessions stay."""
-    return _within(_of_ticker(daily, company, ticker), start, end).select(daily.columns).orderBy(F.asc_nulls_last("data"))
+    series = _within(_of_ticker(daily, company, ticker), start, end)
+    return series.select([c for c in daily.columns if c != YEAR]).orderBy(F.asc_nulls_last("data"))
 
 
 def yield_series(yields, company, ticker, start, end):
@@ -63,7 +67,7 @@ def period_returns(daily, company, start, end):
 
     The first price comes from an aggregation of the filtered rows, so no ticker is sorted.
     """
-    period = _within(daily.select("empresa_id", "data", "fechamento_ajustado"), start, end)
+    period = _within(daily, start, end).select("empresa_id", "data", "fechamento_ajustado")
     anchor = period.groupBy("empresa_id").agg(F.min_by("fechamento_ajustado", "data").alias("base"))
     factor = ratio(F.col("fechamento_ajustado"), F.col("base"))
     return with_company_id(period.join(anchor, "empresa_id"), company, "ticker").select(

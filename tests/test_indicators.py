@@ -294,3 +294,49 @@ def test_yield_shuffles_quotes_once_and_has_no_nested_loop_join(spark, calendar)
     assert "NestedLoop" not in text and "CartesianProduct" not in text
     # dividends per day, their trailing totals, then quotes and totals together
     assert text.count("Exchange hashpartitioning") == 3
+
+
+@pytest.mark.parametrize("block_days,max_rows", [(182, 200_000), (30, 200_000), (400, 7)])
+def test_interval_join_splits_a_hot_company(spark, calendar, block_days, max_rows):
+    """A third of all sessions in one company on few days, against sums over all pairs."""
+    rng = random.Random(6)
+    days = [r.tempo_id for r in calendar.orderBy("tempo_id").collect()]
+    quotes = [(0 if i % 3 == 0 else i % 20, rng.choice(days[-5:] if i % 3 == 0 else days), float(rng.randint(1, 40))) for i in range(900)]
+    events = [(rng.choice([0, 0, 1, 2, 3]), rng.choice(days), float(rng.randint(1, 9))) for _ in range(300)]
+    got = indicators.dividend_yield_by_join(
+        spark.createDataFrame(quotes, "empresa_id long, tempo_id int, fechamento double"),
+        spark.createDataFrame(events, "empresa_id long, tempo_id int, valor_dividendo double"), calendar, block_days, max_rows).collect()
+    day = {r.tempo_id: r.data for r in calendar.collect()}
+    want = {}
+    for company, at, price in quotes:
+        paid = sum(v for c, e, v in events if c == company and 0 <= (day[at] - day[e]).days < 365)
+        want[company, at, price] = want.get((company, at, price), 0) + paid
+    assert {(r.empresa_id, r.tempo_id, r.fechamento_bruto): r.dividendos_12m for r in got} == want
+
+
+def test_pieces_cover_a_window_once():
+    from tapework.functions.series import pieces
+    for n in range(1, 400):
+        rows = [before + i for size, before in pieces(n) for i in range(size)]
+        assert sorted(rows) == list(range(n)) and len(pieces(n)) <= 15
+
+
+def test_averages_and_volatilities_keep_their_digits(spark):
+    """After a bad tick and on constant growth, against sums taken in full."""
+    day = dt.date(2010, 1, 4)
+    series = {1: [100.0 * 1.001**i for i in range(600)], 2: [100.0, 1e12, 100.0] + [100 + 1e-3 * (i * 7919 % 97) for i in range(600)]}
+    rows = [(k, i, day + dt.timedelta(i), p, 1) for k, prices in series.items() for i, p in enumerate(prices)]
+    got = {(r.empresa_id, r.tempo_id): r for r in indicators_of(spark.createDataFrame(rows, BASE)).collect()}
+    for k, prices in series.items():
+        logs = logs_of(prices)
+        for i in (300, 450, 599):
+            for n in (7, 30, 90, 200):
+                assert got[k, i][f"media_movel_{n}d"] == pytest.approx(math.fsum(prices[i - n + 1:i + 1]) / n, rel=1e-14)
+            for n in (30, 90, 252):
+                assert got[k, i][f"volatilidade_{n}d"] == pytest.approx(statistics.stdev(logs[i - n:i]), rel=1e-12, abs=1e-15)
+
+
+def test_both_layouts_give_the_same_bits(spark, price_series):
+    df = spark.createDataFrame(price_series(7, 1500, step=1) + price_series(8, 50), BASE)
+    whole, split = indicators_of(df), indicators_of(df, 300)
+    assert whole.exceptAll(split).isEmpty() and split.exceptAll(whole).isEmpty()
