@@ -12,8 +12,6 @@ from tapework.session import stage_table
 
 BUCKETS = 16
 TOKEN_BUDGET = 65_536
-#: Lengths below this have a histogram cell each; above, each octave has half as many cells.
-EXACT_CELLS = 4_096
 #: Rows of one bucket that one task numbers.
 ROWS_PER_SLICE = 4_000
 
@@ -23,20 +21,11 @@ def n_words(text):
     return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
-def length_cell(length):
-    """Cell of a length. The number of cells grows with the logarithm of the longest length only."""
-    length = F.col(length)
-    step = F.pow(F.lit(2), F.greatest(F.floor(F.log2(F.greatest(length, F.lit(1)))) + 2 - EXACT_CELLS.bit_length(), F.lit(0))).cast("long")
-    return F.floor(length / step) * step
-
-
 def histogram(df, length):
-    """Sorted (longest, count, total) per cell: bounded by the cell rule, whatever the table's size."""
-    cells = (
-        df.groupBy(length_cell(length).alias("_cell"))
-        .agg(F.max(length).alias("longest"), F.count(F.lit(1)).alias("n"), F.sum(length).alias("total"))
-    )
-    return sorted((r["longest"], r["n"], r["total"]) for r in cells.collect())
+    """Sorted (length, count, total), one cell for each distinct length: their number is bounded by the longest length, and
+    grows far more slowly than the table."""
+    cells = df.groupBy(F.col(length).alias("length")).agg(F.count(F.lit(1)).alias("n")).orderBy("length").toArrow().to_pydict()
+    return [(length, n, length * n) for length, n in zip(cells["length"], cells["n"])]
 
 
 def optimal_boundaries(cells, buckets):

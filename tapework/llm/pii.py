@@ -248,7 +248,8 @@ def train(docs, spans_of=base_spans, *, rows=TRAIN_DOCS, most=TRAIN_WINDOWS):
     """
     ids = docs.where(F.col("text").cast("string").rlike(TRIGGER)).select(F.col("doc_id").cast("long").alias("_id")).dropna().distinct().orderBy(
         F.xxhash64("_id"), "_id").limit(rows)
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "_id")
+    given = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text")).join(F.broadcast(ids), "_id")
+    texts = given.groupBy("_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
 
     def cut(batches):
         for batch in batches:

@@ -22,11 +22,18 @@ def test_boundaries_are_optimal(counts, buckets):
     assert padding(cells, got) == best
 
 
-def test_cells_bound_the_histogram(spark):
-    df = spark.range(0, 300_000).selectExpr("id AS n")
+def test_every_length_has_a_cell(spark):
+    df = spark.range(0, 300_000).selectExpr("id % 70000 AS n")
     cells = packing.histogram(df, "n")
-    assert len(cells) < packing.EXACT_CELLS * 5 and sum(c[1] for c in cells) == 300_000
-    assert [c[0] for c in cells[:packing.EXACT_CELLS]] == list(range(packing.EXACT_CELLS))
+    assert [c[0] for c in cells] == list(range(70_000)) and sum(c[1] for c in cells) == 300_000 and cells[69_999][2] == 69_999 * cells[69_999][1]
+
+
+def test_long_lengths_are_told_apart(spark):
+    lengths = [5000, 5001, 5002, 5003, 9000, 9001, 9002, 9003]
+    df = spark.createDataFrame(list(enumerate(lengths * 3)), "doc_id long, n_tokens long")
+    assert all(r.padding == 0 for r in packing.pack(df, buckets=8).collect())
+    best = min(sum(min(b for b in (*pick, 9003) if b >= n) - n for n in lengths * 3) for pick in itertools.combinations(lengths[:-1], 2))
+    assert sum(r.padding for r in packing.pack(df, buckets=3).collect()) == best
 
 
 def test_batches_keep_to_the_budget(spark, monkeypatch):
