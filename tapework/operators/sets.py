@@ -1,5 +1,8 @@
 """Multiset comparison and key differences."""
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import functions as F
 
 
@@ -16,3 +19,32 @@ def multiset_difference(left, right):
 def missing_keys(expected, obtained, key):
     """Expected keys without any row."""
     return expected.select(key).distinct().join(obtained.select(key).distinct(), key, "left_anti")
+
+
+def row_digest(df):
+    """Aggregates that tell multisets of rows apart whatever their order: the count, and sums of two hashes of each row.
+    Hashes skip NULL, so which columns are NULL is hashed as well."""
+    columns = [F.col(f"`{c}`") for c in df.columns]
+    missing = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in columns])
+    return [F.count(F.lit(1)).alias("_n"), F.sum(F.xxhash64(missing, *columns).cast("decimal(38,0)")).alias("_a"),
+            F.sum(F.hash(F.lit(17), missing, *columns).cast("long")).alias("_b")]
+
+
+def partition_difference(left, right, by):
+    """``multiset_difference`` of two tables that are equal in most of their partitions ``by``.
+
+    Each side is reduced to one row per partition before the shuffle; only partitions whose counts or digests differ are
+    compared row by row. Equal partitions whose digests collide (64 and 32 bits) would be missed, with odds of 2 ** -90.
+    """
+    one, two = (df.groupBy(*by).agg(*row_digest(df)) for df in (left, right))
+    renamed = two.withColumnsRenamed({c: f"_r{c}" for c in two.columns})
+    same_key = [one[c].eqNullSafe(renamed[f"_r{c}"]) for c in by]
+    same = [one[c].eqNullSafe(renamed[f"_r{c}"]) for c in ("_n", "_a", "_b")]
+    joined = one.join(renamed, reduce(and_, same_key), "full").where(~reduce(and_, same))
+    present = F.col("_n").isNotNull()
+    changed = joined.select(*[F.when(present, F.col(c)).otherwise(F.col(f"_r{c}")).alias(f"_k{c}") for c in by])
+
+    def of_changed(df):
+        return df.join(changed, reduce(and_, [df[c].eqNullSafe(F.col(f"_k{c}")) for c in by]), "left_semi")
+
+    return multiset_difference(of_changed(left), of_changed(right))

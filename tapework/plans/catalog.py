@@ -199,7 +199,7 @@ def changed_write(spark, d):
     write_quotes(quotes, path, "month")
     before = stage_table(read_raw_quotes(spark, path, "month"), "before")
     write_quotes(quotes.where(F.year("data") == 1997).withColumn("volume", F.col("volume") * 2), path, "month")
-    return sets.multiset_difference(before, read_raw_quotes(spark, path, "month"))
+    return sets.partition_difference(before, read_raw_quotes(spark, path, "month"), ["ano", "mes"])
 
 
 def idempotent_write(spark, d):
@@ -209,7 +209,7 @@ def idempotent_write(spark, d):
     write_quotes(quotes, path, "month")
     before = stage_table(read_raw_quotes(spark, path, "month"), "before")
     write_quotes(quotes, path, "month")
-    return sets.multiset_difference(before, read_raw_quotes(spark, path, "month"))
+    return sets.partition_difference(before, read_raw_quotes(spark, path, "month"), ["ano", "mes"])
 
 
 # --- joins, aggregates, sets -----------------------------------------------------------------------

@@ -156,6 +156,15 @@ def test_multiset_difference_counts_copies(spark):
     assert sorted(tuple(r) for r in sets.multiset_difference(a, b).collect()) == [(1, 1), (3, -1)]
 
 
+def test_partition_difference_equals_the_whole_one(spark):
+    rows = [(1, "a", None), (1, "a", None), (1, None, "a"), (2, "b", "c"), (2, "b", "c"), (3, "x", "y"), (None, "n", None), (None, None, "n")]
+    other = [(1, "a", None), (1, None, "a"), (1, None, "a"), (2, "b", "c"), (2, "b", "c"), (4, "x", "y"), (None, None, "n"), (None, None, "n")]
+    a, b = (spark.createDataFrame(r, "p int, x string, y string") for r in (rows, other))
+    got, want = sets.partition_difference(a, b, ["p"]), sets.multiset_difference(a, b)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr) and want.count() == 6
+    assert sets.partition_difference(a, a.orderBy("y"), ["p"]).isEmpty()
+
+
 # Each check with a table that passes and one that fails.
 CHECKS = {
     "not_null": (lambda d: quality.not_null(d, "k"), [(1, "a"), (2, None)], [(None, "a")]),
