@@ -34,9 +34,11 @@ def market(spark):
     return spark.createDataFrame(quotes, QUOTES).persist(), spark.createDataFrame(dividends, DIVIDENDS).persist()
 
 
-@pytest.fixture
-def make(spark, tmp_path, market):
+@pytest.fixture(scope="module")
+def make(spark, tmp_path_factory, market):
     """make(name, tickers, last): a run with its raw layer loaded up to ``last``."""
+    tmp_path = tmp_path_factory.mktemp("runs")
+
     def made(name, tickers=("AAA3", "BBB4", "CCC5"), last=LAST):
         seed = tmp_path / f"{name}.csv"
         seed.write_text("ticker,nome,setor,subsetor,segmento\n" + "".join(f"{t},n,s,t,u\n" for t in tickers))
@@ -47,6 +49,14 @@ def make(spark, tmp_path, market):
     return made
 
 
+@pytest.fixture(scope="module")
+def whole(spark, make):
+    """All history refreshed at once; tests only read it."""
+    run = make("whole")
+    refresh(spark, run)
+    return run
+
+
 def shown(spark, run):
     return {name: spark.newSession().table(f"{run.layers[1]}.{name}") for name in SHOWN}
 
@@ -60,20 +70,18 @@ def assert_same_marts(spark, run, other):
         assert a.count() == b.count() > 0 and a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty(), name
 
 
-def test_continued_days_equal_a_full_rebuild(spark, make, market):
+def test_continued_days_equal_a_full_rebuild(spark, make, market, whole):
     run = make("days", last=dt.date(2023, 12, 20))
     refresh(spark, run)
     state_of = versions.Store(spark, f"{run.root}/marts", run.layers[1])
-    for day in (21, 22, 23):
+    for day in (21, 22):
         loads.run_daily(spark, run, *market, dt.date(2023, 12, day))
-    loads.run_range(spark, run, market[0], dt.date(2023, 12, 24), LAST)
-    assert state_of.manifest().version == 5
-    whole = make("whole")
-    refresh(spark, whole)
+    loads.run_range(spark, run, market[0], dt.date(2023, 12, 23), LAST)
+    assert state_of.manifest().version == 4
     assert_same_marts(spark, run, whole)
     # only the newest folder holds the last days: the earlier rows were not written again
     parts = state_of.manifest().tables["mart_indicadores_diarios"].parts
-    assert sorted(p.last for p in parts if p.year == 2023)[0] == 20231220 and len([p for p in parts if p.year == 2023]) == 5
+    assert sorted(p.last for p in parts if p.year == 2023)[0] == 20231220 and len([p for p in parts if p.year == 2023]) == 4
 
 
 def test_late_correction_and_changed_dividend(spark, make, market):
@@ -91,7 +99,7 @@ def test_late_correction_and_changed_dividend(spark, make, market):
     assert_same_marts(spark, run, whole)
 
 
-def test_new_company_brings_its_history_and_moves_no_key(spark, make):
+def test_new_company_brings_its_history_and_moves_no_key(spark, make, whole):
     run = make("fresh", ("BBB4", "CCC5"), dt.date(2023, 11, 30))
     refresh(spark, run)
     before = {r.ticker: r.empresa_id for r in spark.table(f"{run.layers[1]}.dim_empresa").collect()}
@@ -99,8 +107,6 @@ def test_new_company_brings_its_history_and_moves_no_key(spark, make):
     refresh(spark, later, dt.date(2023, 12, 1))
     after = {r.ticker: r.empresa_id for r in spark.newSession().table(f"{run.layers[1]}.dim_empresa").collect()}
     assert before == {"BBB4": 1, "CCC5": 2} and after == {**before, "AAA3": 3}
-    whole = make("fresh_whole")
-    refresh(spark, whole)
     ids = spark.createDataFrame([(1, 3), (2, 1), (3, 2)], "empresa_id long, id long")
     for name in SHOWN[2:]:
         got = spark.newSession().table(f"{run.layers[1]}.{name}")
@@ -141,16 +147,14 @@ def test_two_runs_cannot_publish_the_same_version(spark, tmp_path):
     assert store.manifest().version == 1
 
 
-def test_a_year_of_many_folders_is_folded(spark, make, market, monkeypatch):
+def test_a_year_of_many_folders_is_folded(spark, make, market, monkeypatch, whole):
     monkeypatch.setattr("tapework.plans.refresh.FOLD_AFTER", 2)
-    run = make("fold", last=dt.date(2023, 12, 28))
+    run = make("fold", last=dt.date(2023, 12, 29))
     refresh(spark, run)
-    for day in (29, 30, 31):
+    for day in (30, 31):
         loads.run_daily(spark, run, *market, dt.date(2023, 12, day))
     store = versions.Store(spark, f"{run.root}/marts", run.layers[1])
     assert len([p for p in store.manifest().tables["fato_cotacoes_diarias"].parts if p.year == 2023]) <= 2
-    whole = make("fold_whole")
-    refresh(spark, whole)
     assert_same_marts(spark, run, whole)
 
 
@@ -158,10 +162,8 @@ def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_reports_skip_years_and_exchanges(spark, make):
-    run = make("plans")
-    refresh(spark, run)
-    store = versions.Store(spark, f"{run.root}/marts", run.layers[1])
+def test_reports_skip_years_and_exchanges(spark, whole):
+    store = versions.Store(spark, f"{whole.root}/marts", whole.layers[1])
     daily, company = store.table("mart_indicadores_diarios"), store.table("dim_empresa")
     period = dt.date(2023, 2, 1), dt.date(2023, 6, 30)
     for report in (reports.risk_return(daily, company, *period), reports.period_returns(daily, company, *period),
