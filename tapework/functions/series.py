@@ -57,105 +57,44 @@ def window_fill(n, position):
     return F.least(F.col(position), F.lit(n)).cast("long")
 
 
-# Pieces of a window hold powers of this many rows.
-PIECE_BASE = 4
+# Values are split at this step: totals of its multiples are exact while they stay below 2**43. What is left of a value is
+# less than a step and taken in multiples of the second one, whose totals are exact while they stay below 8.
+TOTAL_STEP, REST_STEP = 2.0**-10, 2.0**-50
 
 
-def pieces(n):
-    """(rows, rows before the current one) of the pieces that make up the last ``n`` rows, the largest and latest first."""
-    size, before, out = 1, 0, []
-    while size * PIECE_BASE <= n:
-        size *= PIECE_BASE
-    while n:
-        out += [(size, before + i * size) for i in range(n // size)]
-        before, n, size = before + n // size * size, n % size, size // PIECE_BASE
-    return out
-
-
-def _merged_sum(parts):
-    """Struct (n, total) of the rows of all ``parts``; a part before the series is NULL."""
-    return {"n": sum((F.coalesce(p["n"], F.lit(0)) for p in parts[1:]), parts[0]["n"]),
-            "total": sum((F.coalesce(p["total"], F.lit(0.0)) for p in parts[1:]), parts[0]["total"])}
-
-
-def _merged_mean(parts):
-    """Number and mean of the rows of all ``parts``, counted from the mean of the first."""
-    n = sum((F.coalesce(p["n"], F.lit(0)) for p in parts[1:]), parts[0]["n"])
-    moved = sum((F.coalesce(p["n"] * (p["mean"] - parts[0]["mean"]), F.lit(0.0)) for p in parts[1:]), F.lit(0.0))
-    return n, parts[0]["mean"] + F.coalesce(F.try_divide(moved, n), F.lit(0.0))
-
-
-def _merged_squares(parts, mean):
-    """Sum of the squared distances of all rows of ``parts`` from ``mean``."""
-    return sum((F.coalesce(p["squares"] + p["n"] * (p["mean"] - mean) * (p["mean"] - mean), F.lit(0.0)) for p in parts), F.lit(0.0))
-
-
-class _Rolled:
-    """Merges pieces of series: ``sums`` and ``moments`` map a piece's column to the columns of its parts."""
-
-    def __init__(self, sums, moments):
-        self.sums, self.moments = sums, moments
-
-    def onto(self, df):
-        halves = {}
-        for out, parts in self.moments.items():
-            halves[f"{out}_n"], halves[f"{out}_m"] = _merged_mean([F.col(p) for p in parts])
-        df = df.withColumns(halves)
-        merged = {}
-        for out, parts in self.sums.items():
-            both = _merged_sum([F.col(p) for p in parts])
-            merged[out] = F.struct(both["n"].alias("n"), both["total"].alias("total"))
-        for out, parts in self.moments.items():
-            squares = _merged_squares([F.col(p) for p in parts], F.col(f"{out}_m"))
-            merged[out] = F.struct(F.col(f"{out}_n").alias("n"), F.col(f"{out}_m").alias("mean"), squares.alias("squares"))
-        return df.withColumns(merged).drop(*halves)
-
-
-def rolling(df, w, means=None, deviations=None):
+def rolling(df, w, position, means=None, deviations=None):
     """Averages and sample standard deviations over the last n rows, NULL values skipped.
 
-    ``means`` and ``deviations`` map a column to ``{result name: n}``. A window is merged from pieces of 1, 4, 16, … rows
-    that end where it needs them, and a piece from four of the size below, all looked up by ``lag``: the work per row grows
-    with the logarithm of n, nothing is ever subtracted, and a result depends on the rows of its window only. So a value
-    that is large or not finite is gone with its last window, and any cut of the series that leaves a window its rows gives
-    the same bits.
+    ``means`` and ``deviations`` map a column to ``{result name: n}``. Averages are the difference of two running
+    totals n rows apart, so their work per row does not depend on n. Values are split into a multiple of
+    ``TOTAL_STEP`` and a small rest, both with exact totals, so that large values early in a series cost the later
+    windows no digits, and any cut of a series that leaves a window its rows gives the same bits (while totals stay below
+    2**43 and those of rests below 8, as they do for 16,000 rows at least); values that are not finite stay out of the
+    totals, and windows that hold one give NaN. Deviations are taken over the row frame itself: no total that forgets by
+    subtraction could be trusted there, and n is a constant.
     """
     means, deviations = means or {}, deviations or {}
-    kept = df.columns
-
-    def column(kind, name, size):
-        return f"_{kind}_{name}_{size}"
-
-    series = [("sum", name) for name in means] + [("dev", name) for name in deviations]
-    single = {}
-    for kind, name in series:
-        value = F.col(name).cast("double")
-        known, filled = F.when(value.isNotNull(), 1).otherwise(0), F.coalesce(value, F.lit(0.0))
-        single[column(kind, name, 1)] = (
-            F.struct(known.alias("n"), filled.alias("total")) if kind == "sum"
-            else F.struct(known.alias("n"), filled.alias("mean"), F.lit(0.0).alias("squares")))
-    df = df.withColumns(single)
-
-    def merge(df, wanted):
-        """Add the columns of ``wanted``: {(kind, name, result): [(size, rows before)]}."""
-        lags = {f"{column(kind, name, size)}_{before}": F.lag(column(kind, name, size), before).over(w.ordered)
-                for (kind, name, _), parts in wanted.items() for size, before in parts if before}
-        df = df.withColumns(lags)
-        named = {key: [f"{column(key[0], key[1], size)}_{before}" if before else column(key[0], key[1], size) for size, before in parts]
-                 for key, parts in wanted.items()}
-        rolled = _Rolled({key[2]: parts for key, parts in named.items() if key[0] == "sum"},
-                         {key[2]: parts for key, parts in named.items() if key[0] == "dev"})
-        return rolled.onto(df).drop(*lags)
-
-    longest = {(kind, name): max((means if kind == "sum" else deviations)[name].values()) for kind, name in series}
-    size = 1
-    while any(size * PIECE_BASE <= n for n in longest.values()):
-        df = merge(df, {(kind, name, column(kind, name, size * PIECE_BASE)): [(size, i * size) for i in range(PIECE_BASE)]
-                        for (kind, name), n in longest.items() if size * PIECE_BASE <= n})
-        size *= PIECE_BASE
-    results = [(kind, name, result, n) for kind, name in series for result, n in (means if kind == "sum" else deviations)[name].items()]
-    df = merge(df, {(kind, name, f"_{result}"): pieces(n) for kind, name, result, n in results})
-    return df.select(*kept, *[
-        F.try_divide(F.col(f"_{result}.total"), F.col(f"_{result}.n")).alias(result) if kind == "sum"
-        else F.when(F.col(f"_{result}.n") > 1, F.sqrt(F.col(f"_{result}.squares") / (F.col(f"_{result}.n") - 1))).alias(result)
-        for kind, _, result, _ in results])
+    df = df.withColumns({
+        result: F.stddev_samp(name).over(w.last_rows(n)) for name, wanted in deviations.items() for result, n in wanted.items()})
+    totals, lengths = {}, {}
+    for name, wanted in means.items():
+        value = F.col(name)
+        finite = F.when(F.abs(value) < F.lit(float("inf")), value)
+        step = F.rint(finite / TOTAL_STEP) * TOTAL_STEP
+        summed = {"cnt": F.count(value), "whole": F.sum(step), "rest": F.sum(F.rint((finite - step) / REST_STEP) * REST_STEP)}
+        for kind, total in summed.items():
+            totals[f"_{kind}_{name}"] = F.coalesce(total.over(w.so_far), F.lit(0))
+        not_finite = value.isNotNull() & finite.isNull()
+        totals[f"_bad_{name}"] = F.max(F.when(not_finite, F.col(position))).over(w.so_far)
+        lengths |= {f"_{kind}_{name}_{n}": (f"_{kind}_{name}", n) for kind in summed for n in wanted.values()}
+    df = df.withColumns(totals)
+    windows = {window: F.col(total) - F.lag(total, n, 0).over(w.ordered) for window, (total, n) in lengths.items()}
+    df = df.withColumns(windows)
+    results = {}
+    for name, wanted in means.items():
+        for result, n in wanted.items():
+            whole, rest, count = (f"_{kind}_{name}_{n}" for kind in ("whole", "rest", "cnt"))
+            results[result] = (f"CASE WHEN _bad_{name} > {position} - {n} THEN double('NaN') "
+                               f"ELSE try_divide({whole} + {rest}, {count}) END")
+    kept = [c for c in df.columns if c not in totals and c not in windows]
+    return df.selectExpr(*kept, *[f"{value} AS {result}" for result, value in results.items()])

@@ -1,8 +1,8 @@
 """Marts continued from a day on: what earlier sessions must leave behind, and how new ones are computed from it.
 
 The state of a company is its last sessions, as many as the longest window can look back on, with its first price and its
-running peak. Windows are merged from their own rows only (``functions.series.rolling``), so new sessions computed after
-the state's have the bits of a full rebuild.
+running peak. Averages come from exact totals and deviations from their own rows (``functions.series.rolling``), so new
+sessions computed after the state's have the bits of a full rebuild.
 """
 
 from pyspark.sql import Window

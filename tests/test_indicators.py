@@ -314,13 +314,6 @@ def test_interval_join_splits_a_hot_company(spark, calendar, block_days, max_row
     assert {(r.empresa_id, r.tempo_id, r.fechamento_bruto): r.dividendos_12m for r in got} == want
 
 
-def test_pieces_cover_a_window_once():
-    from tapework.functions.series import pieces
-    for n in range(1, 400):
-        rows = [before + i for size, before in pieces(n) for i in range(size)]
-        assert sorted(rows) == list(range(n)) and len(pieces(n)) <= 15
-
-
 def test_averages_and_volatilities_keep_their_digits(spark):
     """After a bad tick and on constant growth, against sums taken in full."""
     day = dt.date(2010, 1, 4)
