@@ -2,13 +2,17 @@
 
 1. Each text's five-word shingles give a label per tree: eight MinHash values of a byte each, first value first, so a
    tree is its labels in sorted order and a trie's prefix is a run of them. Texts with equal shingle sets are one class.
-2. Prefixes are shortened from eight values until the forest's recall at the threshold reaches the target. Classes that
-   share a prefix form a bucket; buckets with equal members in several trees are looked at once. Inside buckets, pairs
-   whose labels agree well enough join candidate groups. Large buckets are cut into blocks and handled by pairs of blocks.
+2. Matching starts at whole labels. Classes that share a prefix form a bucket; buckets with equal members in several
+   trees are looked at once, those without pairs that are new at this length not at all. Pairs that did not meet at a
+   longer prefix and whose labels agree well enough join candidate groups. From the agreement of the pairs met so far
+   the recall at this length is estimated; prefixes are shortened by a value until it reaches the target wherever there
+   are pairs. Large buckets are cut into blocks and handled by pairs of blocks.
 3. Inside a candidate group every pair is verified exactly on shingle sets, again by pairs of blocks. Tasks emit counts
    and spanning links, never pairs.
 """
 
+from collections import Counter
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Window
@@ -30,13 +34,31 @@ BUCKET_BLOCK = 512
 GROUP_BLOCK = 256
 
 
-def prefix_length(threshold=THRESHOLD, trees=TREES, depth=DEPTH, target=TARGET_RECALL):
-    """Longest prefix at which a pair of similarity ``threshold`` meets in some tree with probability ``target``;
-    1 if none does."""
-    for d in range(depth, 1, -1):
-        if 1 - (1 - threshold**d) ** trees >= target:
-            return d
-    return 1
+def meets(similarity, length, trees=TREES):
+    """Probability that a pair of this similarity shares a prefix of ``length`` values in some tree."""
+    return 1 - (1 - np.asarray(similarity, float) ** length) ** trees
+
+
+def shortest_prefix(threshold=THRESHOLD, depth=DEPTH, target=TARGET_RECALL):
+    """Length at which even pairs of similarity ``threshold`` meet as often as the target asks; no data can need less.
+    1 if there is none."""
+    return next((d for d in range(depth, 1, -1) if meets(threshold, d) >= target), 1)
+
+
+def deviation(threshold, values=TREES * DEPTH):
+    """Standard deviation of the share of agreeing values at the threshold."""
+    return np.sqrt(threshold * (1 - threshold) / values)
+
+
+def estimated_recall(pairs, length, threshold=THRESHOLD):
+    """Recall at prefixes of ``length``, from ``pairs``: agreeing values -> pairs met so far.
+
+    Pairs are taken two deviations less similar than their labels say, but not below the threshold. The lowest recall
+    of any agreement that has pairs counts, so many clear copies do not outweigh a few pairs near the threshold.
+    1 without pairs."""
+    agree = np.array([a for a, n in pairs.items() if n], float)
+    similarity = (agree / (TREES * DEPTH) - 1 / 256) / (1 - 1 / 256) - 2 * deviation(threshold)
+    return float(meets(np.clip(similarity, threshold, 1), length).min(initial=1))
 
 
 def shingle_sets(texts, size=SHINGLE):
@@ -143,32 +165,87 @@ def _groups(table, keys):
     return zip(starts, np.append(starts[1:], table.num_rows), strict=True)
 
 
-def _candidate_links(least):
-    """Spanning links of the pairs in each bucket whose labels agree in at least the share ``least``."""
+def _candidate_links(length, least):
+    """Spanning links (a, b) of the pairs in each bucket whose labels agree in at least the share ``least`` and that
+    share ``length`` values in this tree first and more in none; also the number of such pairs by agreeing values."""
     keys = ["tree", "prefix", "p", "q"]
 
     def run(batches):
         for table in whole_groups(batches, keys):
-            node = table["node"].to_numpy()
-            own = table["own"].to_numpy()
-            flat = table["labels"].combine_chunks().flatten().to_numpy().view(np.uint8).reshape(len(node), -1)
+            node, own, child, tree = (table[c].to_numpy() for c in ("node", "own", "child", "tree"))
+            flat = table["labels"].combine_chunks().flatten().to_numpy().astype(">i8").view(np.uint8).reshape(len(node), -1)
             same = (table["p"].to_numpy() == table["q"].to_numpy())
-            a, b = [], []
+            a, b, count = [], [], np.zeros(TREES * DEPTH + 1, np.int64)
             for i, j in _groups(table, keys):
                 for x in range(i, j - 1):
                     y = np.arange(x + 1, j)
+                    y = y[child[y] != child[x]]
                     if not same[x]:
                         y = y[own[y] != own[x]]
-                    near = y[(flat[y] == flat[x]).mean(1) >= least]
-                    a.append(np.full(len(near), x))
-                    b.append(near)
+                    equal = flat[y] == flat[x]
+                    agree = equal.sum(1)
+                    near = agree >= least * flat.shape[1]
+                    runs = np.logical_and.accumulate(equal[near].reshape(-1, TREES, DEPTH), 2).sum(2)
+                    new = (runs.max(1) == length) & (runs.argmax(1) == tree[x])
+                    y = y[near][new]
+                    count += np.bincount(agree[near][new], minlength=len(count))
+                    a.append(np.full(len(y), x))
+                    b.append(y)
             a, b = (np.concatenate(v).astype(np.int64) if v else np.empty(0, np.int64) for v in (a, b))
             root = _roots(len(node), a, b)
             linked = root != np.arange(len(node))
-            yield pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[root[linked]])], ["a", "b"])
+            some = np.flatnonzero(count)
+            links, counts = int(linked.sum()), len(some)
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([pa.array(node[linked]), pa.nulls(counts, pa.int64())]),
+                 pa.concat_arrays([pa.array(node[root[linked]]), pa.nulls(counts, pa.int64())]),
+                 pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(some)]),
+                 pa.concat_arrays([pa.nulls(links, pa.int64()), pa.array(count[some])])], ["a", "b", "agree", "pairs"])
     return run
 
 
+def _prefix(length):
+    return F.shiftrightunsigned("label", 8 * (DEPTH - length))
+
+
+def _met(tries, searched, length, threshold):
+    """Written links and counts of the pairs that meet at prefixes of ``length`` and at no longer ones."""
+    # at whole labels every member is a child of its own; above, pairs of one child met before
+    child = _prefix(length + 1) if length < DEPTH else F.col("node")
+    rows = tries.select("node", "tree", _prefix(length).alias("prefix"), child.alias("child"))
+    buckets = rows.groupBy("tree", "prefix").agg(
+        F.count(F.lit(1)).alias("_size"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("_who"),
+        F.min("child").alias("_low"), F.max("child").alias("_high")).where("_low < _high")
+    once = buckets.groupBy("_size", "_who").agg(F.min(F.struct("tree", "prefix")).alias("b")).select("b.tree", "b.prefix", "_size")
+    members = rows.join(once, ["tree", "prefix"]).join(searched.select("node", "labels"), "node")
+    least = threshold - MARGIN * deviation(threshold)
+    return stage_table(_spread(_blocks(members, ["tree", "prefix"], BUCKET_BLOCK), ["tree", "prefix", "p", "q"]).select(
+        "tree", "prefix", "p", "q", "own", "node", "child", "labels").mapInArrow(
+            _candidate_links(length, least), "a long, b long, agree long, pairs long"), f"met-{length}")
+
+
+def candidates(nodes, threshold):
+    """(links (a, b) that connect all candidate pairs of ``nodes(node, n, labels)``, prefix length that sufficed).
+
+    Labels that are alone in their bucket at the shortest prefix are alone at every longer one and are left out first."""
+    shortest = shortest_prefix(threshold)
+    searched = nodes.where("n > 0")
+    tries = searched.select("node", F.posexplode("labels").alias("tree", "label"))
+    shared = tries.groupBy("tree", _prefix(shortest).alias("prefix")).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    tries = stage_table(tries.withColumn("prefix", _prefix(shortest)).join(shared, ["tree", "prefix"], "left_semi").select(
+        "node", "tree", "label"), "tries")
+    links, pairs = None, Counter()
+    for length in range(DEPTH, shortest - 1, -1):
+        met = _met(tries, searched, length, threshold)
+        links = met.where("a IS NOT NULL") if links is None else links.union(met.where("a IS NOT NULL"))
+        for r in met.where("agree IS NOT NULL").groupBy("agree").agg(F.sum("pairs").alias("pairs")).collect():
+            pairs[r.agree] += r.pairs
+        # without pairs there is nothing to judge by, so the search goes on
+        if pairs and estimated_recall(pairs, length, threshold) >= TARGET_RECALL:
+            break
+    return links.select("a", "b"), length
+
+
 def overlaps(hashes, lengths, columns=1 << 14):
     """Sizes of all pairwise intersections of sets, by products of blocks of the incidence matrix."""
     values, col = np.unique(hashes, return_inverse=True)
@@ -229,18 +306,7 @@ def _classes(docs, threshold, size):
     nodes = stage_table(
         rows.groupBy("node").agg(F.min_by(F.struct("doc_id", "key"), F.struct(F.col("doc_id").isNull(), "doc_id", "key")).alias("first"),
                                  F.count(F.lit(1)).alias("copies"), F.first("labels").alias("labels"), F.first("n").alias("n")), "classes")
-    depth = prefix_length(threshold)
-    bits = 8 * (DEPTH - depth)
-    searched = nodes.where("n > 0")
-    tries = searched.select("node", F.posexplode("labels").alias("tree", "label")).select(
-        "node", "tree", F.shiftrightunsigned("label", bits).alias("prefix"))
-    buckets = tries.groupBy("tree", "prefix").agg(
-        F.count(F.lit(1)).alias("_size"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("_who")).where("_size > 1")
-    once = buckets.groupBy("_size", "_who").agg(F.min(F.struct("tree", "prefix")).alias("b")).select("b.tree", "b.prefix", "_size")
-    members = tries.join(once, ["tree", "prefix"]).join(searched.select("node", "labels"), "node")
-    spread = np.sqrt(threshold * (1 - threshold) / (TREES * DEPTH))
-    links = _spread(_blocks(members, ["tree", "prefix"], BUCKET_BLOCK), ["tree", "prefix", "p", "q"]).select(
-        "tree", "prefix", "p", "q", "own", "node", "labels").mapInArrow(_candidate_links(threshold - MARGIN * spread), "a long, b long")
+    links, _ = candidates(nodes, threshold)
     found = stage_table(components(links, "candidates"), "candidate-groups")
     sizes = found.groupBy("component").agg(F.count(F.lit(1)).alias("_size"))
     wanted = found.join(nodes.select("node", "first", "copies"), "node").select("node", "component", "copies", "first.*")

@@ -1,5 +1,7 @@
 import random
+from collections import Counter
 
+import numpy as np
 import pytest
 
 from odd_tables import none, odd, words  # noqa: F401
@@ -75,7 +77,56 @@ def test_one_row_of_each_class_stays(odd, none, spark):
     assert kept == {c for _, c, _ in brute(docs)}
 
 
-def test_prefixes_shorten_to_the_target():
-    assert jaccard_join.prefix_length(0.95) > jaccard_join.prefix_length(0.8) > jaccard_join.prefix_length(0.5)
-    d = jaccard_join.prefix_length()
-    assert 1 - (1 - 0.8**d) ** jaccard_join.TREES >= jaccard_join.TARGET_RECALL > 1 - (1 - 0.8 ** (d + 1)) ** jaccard_join.TREES
+def changed(seed, groups, edits, length=204):
+    """Pairs of texts of which the second has ``edits`` words replaced, far from each other: 5 shingles each."""
+    rng, docs = random.Random(seed), []
+    for g in range(groups):
+        w = [f"g{g}w{rng.randrange(10**6)}" for _ in range(length)]
+        v = list(w)
+        for k in range(edits):
+            v[10 + 40 * k] = f"x{rng.randrange(10**9)}"
+        docs += [(len(docs), " ".join(w)), (len(docs) + 1, " ".join(v))]
+    return docs
+
+
+def nodes_of(spark, docs):
+    df = spark.createDataFrame(docs, "doc_id long, text string").selectExpr("doc_id", "xxhash64(text) AS key", "text")
+    rows = df.mapInArrow(jaccard_join._signatures(5), "doc_id long, key long, node long, n long, labels array<long>")
+    return rows.dropDuplicates(["node"]).cache()
+
+
+def test_pairs_just_above_the_threshold_are_met(spark):
+    docs = changed(7, 400, 4)  # 180 of 220 shingles: 0.818
+    assert joined(spark.createDataFrame(docs, "doc_id long, text string")) == sorted(((i, i - i % 2, 1) for i in range(len(docs))), key=repr)
+
+
+def test_prefixes_shorten_on_the_data(spark):
+    assert jaccard_join.candidates(nodes_of(spark, changed(8, 30, 4)), 0.8)[1] == jaccard_join.shortest_prefix() == 5
+    assert jaccard_join.candidates(nodes_of(spark, changed(8, 30, 1)), 0.8)[1] > 5
+    recalls = [jaccard_join.estimated_recall({170: 3, 192: 10**6}, d) for d in range(8, 0, -1)]
+    assert recalls == sorted(recalls) and recalls[0] < 0.9999 and jaccard_join.estimated_recall({}, 8) == 1
+    assert jaccard_join.estimated_recall({192: 1}, 8) > jaccard_join.estimated_recall({192: 10**6, 160: 1}, 8)
+
+
+@pytest.mark.parametrize("block", [512, 4])
+def test_each_pair_is_met_once_at_its_longest_prefix(spark, monkeypatch, block):
+    monkeypatch.setattr(jaccard_join, "BUCKET_BLOCK", block)
+    nodes = nodes_of(spark, edited_copies(9, 5, 12))
+    rows = [(r.node, np.array(r.labels).astype(">i8").view(np.uint8).reshape(24, 8)) for r in nodes.collect()]
+    tries = nodes.selectExpr("node", "posexplode(labels) AS (tree, label)")
+    least = 0.8 - jaccard_join.MARGIN * jaccard_join.deviation(0.8)
+    for length in (8, 7, 5):
+        met = jaccard_join._met(tries, nodes, length, 0.8)
+        want = Counter()
+        for i, (_, a) in enumerate(rows):
+            for _, b in rows[:i]:
+                if (a == b).mean() >= least and np.logical_and.accumulate(a == b, 1).sum(1).max() == length:
+                    want[int((a == b).sum())] += 1
+        got = {r.agree: r.n for r in met.where("agree IS NOT NULL").groupBy("agree").agg({"pairs": "sum"}).toDF("agree", "n").collect()}
+        assert got == dict(want)
+
+
+def test_shortest_prefix_reaches_the_target():
+    assert jaccard_join.shortest_prefix(0.95) > jaccard_join.shortest_prefix(0.8) > jaccard_join.shortest_prefix(0.5)
+    d = jaccard_join.shortest_prefix()
+    assert jaccard_join.meets(0.8, d) >= jaccard_join.TARGET_RECALL > jaccard_join.meets(0.8, d + 1)
