@@ -4,7 +4,8 @@ A softmax classifier, trained on a bounded sample of a labelled table, gives eve
 Projected-gradient least squares then finds document rates w >= least whose expected domain totals
 T_d = sum_i w_i n_i p_id (n: tokens) match the targets, staying close to 1 where that is free. The gradient of a
 document depends on its posteriors and on the residual per domain only, so a step is one aggregation of as many
-numbers as there are domains, and a rate is the replay of the residuals so far: no state is kept per document.
+numbers as there are domains. Rates are written every few steps, and steps since are taken again when rows are read:
+the work of a solve grows with its steps, and few tables are written.
 """
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from tapework.llm.features import Encoder, describe, sample_labelled
 from tapework.llm.packing import n_words
 from tapework.llm.words import slices
-from tapework.session import stage_table
+from tapework.session import stage_table, unstage
 
 #: Labelled rows that a fit may use.
 TRAIN_ROWS = 8_000
@@ -23,6 +24,8 @@ NEARNESS = 1e-4
 STEPS = 80
 #: Largest relative residual at which the steps end.
 CLOSE = 1e-4
+#: Steps after which the rates of all documents are written.
+KEEP = 10
 
 
 class DomainClassifier:
@@ -94,47 +97,68 @@ def posteriors(docs, model):
 
 
 class Rates:
-    """Rates after the steps taken so far, as a function of posteriors: a replay of accelerated projected gradient."""
+    """Rates after the steps taken so far, as a function of posteriors: steps of accelerated projected gradient."""
 
     def __init__(self, scale, step, least, most):
         self.scale, self.step, self.least, self.most, self.residuals = scale, step, least, most, []
+        self.pulls, self.t = [], 1.0
 
-    def _replay(self, p):
-        w = np.clip(np.ones(len(p)), self.least, self.most)
-        ahead, t = w, 1.0
-        for r in self.residuals:
+    def add(self, residual):
+        self.residuals.append(residual)
+        t, self.t = self.t, (1 + np.sqrt(1 + 4 * self.t**2)) / 2
+        self.pulls.append((t - 1) / self.t)
+
+    def start(self):
+        return float(np.clip(1.0, self.least, self.most))
+
+    def advance(self, p, w, ahead, since):
+        """Rates ``w`` and the points ``ahead`` of them, both after ``since`` steps, taken through all later steps."""
+        for r, pull in zip(self.residuals[since:], self.pulls[since:], strict=True):
             new = np.clip(ahead - self.step * (p @ (r / self.scale) + NEARNESS * (ahead - 1)), self.least, self.most)
-            t, old = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
-            ahead, w = new + (old - 1) / t * (new - w), new
+            w, ahead = new, new + pull * (new - w)
         return w, ahead
 
     def final(self, p):
-        return self._replay(p)[0]
+        w = np.full(len(p), self.start())
+        return self.advance(p, w, w, 0)[0]
 
-    def ahead(self, p):
-        return self._replay(p)[1]
 
+def _matrix(column, domains):
+    return column.flatten().to_numpy().reshape(-1, domains)
 
-def _totals(table, weigh, domains):
-    """Sum over rows of weigh(p) n p as one array per row kind; ``weigh`` gives several columns."""
+
+def _totals(table, columns, weigh, domains):
+    """Sum over rows of weigh(p, columns) n p as one array per row kind; ``weigh`` gives several columns."""
     def run(batches):
         total = None
         for batch in batches:
             n = batch.column(0).to_numpy().astype(float)
-            p = batch.column(1).flatten().to_numpy().reshape(-1, domains)
-            part = (weigh(p) * n[:, None]).T @ p
+            p = _matrix(batch.column(1), domains)
+            part = (weigh(p, *[c.to_numpy() for c in batch.columns[2:]]) * n[:, None]).T @ p
             total = part if total is None else total + part
         if total is not None:
             i, j = np.indices(total.shape)
             yield pa.RecordBatch.from_arrays([pa.array(i.ravel()), pa.array(j.ravel()), pa.array(total.ravel())], ["i", "j", "x"])
 
-    rows = table.select("n_tokens", "posterior").mapInArrow(run, "i long, j long, x double").groupBy("i", "j").agg(F.sum("x").alias("x")).collect()
+    rows = table.select("n_tokens", "posterior", *columns).mapInArrow(run, "i long, j long, x double").groupBy("i", "j").agg(
+        F.sum("x").alias("x")).collect()
     out = np.zeros((max([r["i"] for r in rows], default=0) + 1, domains))
     for r in rows:
         out[r["i"], r["j"]] = r["x"]
     return out
 
 
+def _advanced(state, rates, since, domains):
+    """The written table ``state`` with the rates taken through the steps since."""
+    def run(batches):
+        for batch in batches:
+            w, ahead = rates.advance(_matrix(batch.column(1), domains), batch.column(2).to_numpy(), batch.column(3).to_numpy(), since)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w), pa.array(ahead)],
+                                             ["n_tokens", "posterior", "rate", "ahead"])
+
+    return stage_table(state.mapInArrow(run, "n_tokens long, posterior array<double>, rate double, ahead double"), "rates")
+
+
 def fit_rates(table, domains, targets, *, total=1.0, least=0.0, most=float("inf")):
     """``Rates`` under which the expected domain totals of ``table(n_tokens, posterior)`` match the targets.
 
@@ -144,7 +168,7 @@ def fit_rates(table, domains, targets, *, total=1.0, least=0.0, most=float("inf"
     """
     k = len(domains)
     weights = np.array([float(targets.get(int(d), 0)) for d in domains])
-    gram = _totals(table, lambda p: p, k)  # sum n p p'; its row sums are the present totals
+    gram = _totals(table, [], lambda p: p, k)  # sum n p p'; its row sums are the present totals
     now = gram.sum(1) if gram.shape[0] == k else np.zeros(k)
     tokens = now.sum()
     if tokens <= 0 or weights.sum() <= 0:
@@ -154,12 +178,21 @@ def fit_rates(table, domains, targets, *, total=1.0, least=0.0, most=float("inf"
     root = np.sqrt(share)
     step = 1 / (np.linalg.eigvalsh(gram / np.outer(root, root)).max() + NEARNESS)
     rates = Rates(share, step, least, most)
-    for _ in range(STEPS):
-        got = _totals(table, lambda p: rates.ahead(p)[:, None], k)[0] / tokens
+    state = table.select("n_tokens", "posterior", F.lit(rates.start()).alias("rate"), F.lit(rates.start()).alias("ahead"))
+    since, written = 0, None
+    for taken in range(STEPS):
+        if taken - since == KEEP:
+            state, spent = _advanced(state, rates, since, k), written
+            since, written = taken, state
+            if spent is not None:
+                unstage(spent)
+        got = _totals(state, ["rate", "ahead"], lambda p, w, ahead: rates.advance(p, w, ahead, since)[1][:, None], k)[0] / tokens
         residual = got - wanted
         if np.abs(residual).max() <= CLOSE * total:
             break
-        rates.residuals.append(residual)
+        rates.add(residual)
+    if written is not None:
+        unstage(written)
     return rates
 
 
@@ -177,7 +210,7 @@ def mix(docs, model, targets, *, total=1.0, least=0.0, most=float("inf")):
 
     def run(batches):
         for batch in batches:
-            p = batch.column(2).flatten().to_numpy().reshape(-1, k)
+            p = _matrix(batch.column(2), k)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rates.final(p))], ["doc_id", "n_tokens", "posterior", "rate"])
 
     return table.mapInArrow(run, "doc_id long, n_tokens long, posterior array<double>, rate double")

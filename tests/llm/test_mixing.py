@@ -38,6 +38,55 @@ def test_out_of_reach_is_least_squares(spark):
     assert all(loss(np.maximum(w + random.normal(0, 0.05, len(w)), 0)) > best - 1e-4 for _ in range(300))
 
 
+def solved(p, a, wanted, least, most):
+    """Rates of the optimum by Newton steps on its multipliers: w = clip(1 - p u / NEARNESS), u the scaled residual."""
+    share, u = np.maximum(a @ p, 1e-9), np.zeros(p.shape[1])
+
+    def rates(u):
+        return np.clip(1 - p @ u / mixing.NEARNESS, least, most)
+
+    def gap(u):
+        return share * u - (a * rates(u)) @ p + wanted
+
+    for _ in range(200):
+        w = rates(u)
+        free = (w > least) & (w < most)
+        slope = np.diag(share) + (p[free].T * a[free]) @ p[free] / mixing.NEARNESS
+        way, size = np.linalg.solve(slope, gap(u)), 1.0
+        while size > 1e-9 and np.linalg.norm(gap(u - size * way)) > np.linalg.norm(gap(u)):
+            size /= 2
+        u = u - size * way
+    assert np.abs(gap(u)).max() < 1e-9
+    return rates(u)
+
+
+@pytest.mark.parametrize("targets,total,least,most", [
+    ((0.2, 0.2, 0.6), 1.3, 0.5, 4.0), ((1.0, 0.0, 0.0), 1.0, 0.0, 2.0), ((0.0, 0.1, 0.9), 0.7, 0.2, 1.0)])
+def test_rates_are_those_of_a_direct_solver(spark, targets, total, least, most):
+    p, tokens, df = table(spark, 200, 3, 4)
+    a, wanted = tokens / tokens.sum(), total * np.array(targets)
+    w = mixing.fit_rates(df, [0, 1, 2], dict(enumerate(targets)), total=total, least=least, most=most).final(p)
+    best, share = solved(p, a, wanted, least, most), a @ p
+
+    def loss(w):
+        return (((a * w) @ p - wanted) ** 2 / share).sum() + mixing.NEARNESS * (a * (w - 1) ** 2).sum()
+
+    assert np.abs((a * w) @ p - (a * best) @ p).max() < 2e-3
+    assert loss(best) - 1e-12 <= loss(w) <= loss(best) + 2e-5
+
+
+def test_steps_are_the_same_however_often_rates_are_written(spark, monkeypatch):
+    p, _, df = table(spark, 80, 3, 5)
+    found = []
+    for keep in (1, 7, 1000):  # the last writes nothing
+        monkeypatch.setattr(mixing, "KEEP", keep)
+        monkeypatch.setattr(mixing, "STEPS", 10)
+        rates = mixing.fit_rates(df, [0, 1, 2], {0: 1.0}, total=1.0)
+        assert len(rates.residuals) == 10
+        found.append(rates.final(p))
+    assert np.allclose(found[0], found[1], atol=1e-9) and np.allclose(found[1], found[2], atol=1e-9)
+
+
 def test_classifier_and_resampling(spark):
     docs, labels = (spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     model = mixing.train(docs, labels, "quality")
