@@ -18,6 +18,7 @@ from tapework.plans.refresh import refresh
 from tapework.plans.warehouse import Warehouse
 from tapework.schemas import DIVIDENDS, EXCHANGE_ZONE, PRICE_COLUMNS, QUOTES, VENDOR_METRICS
 from tapework.session import fresh_path, stage_table
+from tapework.sinks.folding import fold_months, read_folded
 from tapework.sinks.layers import create_layer, materialize
 from tapework.sinks.partitioned import write_dividends, write_quotes
 from tapework.sinks.versions import YEAR, Store
@@ -146,6 +147,18 @@ def written_quotes(granularity):
     return query
 
 
+def folded_months(spark, d, days=None):
+    """Raw layer by day, its closed months folded; ``days`` are then written again with doubled volumes and folded."""
+    daily, folded = fresh_path(spark, "cotacoes"), fresh_path(spark, "meses")
+    landing = stage_table(market.nation_quotes(spark, d).select(QUOTES.names), "landing")
+    write_quotes(landing, daily)
+    fold_months(spark, daily, folded, END)
+    if days:
+        write_quotes(landing.where(F.col("data").between(*days)).withColumn("volume", F.col("volume") * 2), daily)
+        fold_months(spark, daily, folded, END)
+    return read_folded(spark, daily, folded)
+
+
 def written_dividends(spark, d):
     path = fresh_path(spark, "dividendos")
     write_dividends(stage_table(market.nation_dividends(spark, d).select(DIVIDENDS.names), "landing"), path)
@@ -641,6 +654,8 @@ QUERIES = {
     # sinks
     "k1_write_quotes": written_quotes("day"),
     "k1_write_quotes_by_month": written_quotes("month"),
+    "k1_folded_months": folded_months,
+    "k1_folded_correction": lambda s, d: folded_months(s, d, (dt.date(1997, 5, 15), dt.date(1997, 7, 9))),
     "k2_write_dividends": written_dividends,
     "k2_rewrite_one_year": rewritten_year,
     "k3_k4_layers": materialized_layers,
