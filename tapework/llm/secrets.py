@@ -17,12 +17,13 @@ ACCESS = r"AKIA[A-Z0-9]+"
 HEX = r"[0-9a-f]+"
 LEAST = {"assign": 6, "access": 20, "hex": 24}
 #: A cheap test that is true wherever a kind has a match that counts.
-_MAY = {"assign": lambda t: t.rlike(ASSIGN), "access": lambda t: F.contains(t, F.lit("AKIA")), "hex": lambda t: t.rlike(r"[0-9a-f]{24}")}
+_MAY = {"assign": lambda t: t.rlike(r"""[dtnyDTNY"'\x20][:=]""") & t.rlike(ASSIGN), "access": lambda t: F.contains(t, F.lit("AKIA")), "hex": lambda t: t.rlike(r"[0-9a-f]{24}")}
 
 ALPHABET = string.ascii_lowercase + string.ascii_uppercase + string.digits + "+/_="
 #: Tokens the Markov models judge, runs of 12 characters and groups of four and more joined by dashes or dots, and the
 #: log-likelihood ratio from which one counts as random.
-TOKEN = r"[A-Za-z0-9+/_=]{4,}(?:[.-][A-Za-z0-9+/_=]{4,}){2,}|[A-Za-z0-9+/_=]{12,}"
+#: No match starts inside a run or gives characters back, which the pattern says so that ordinary words are passed quickly.
+TOKEN = r"(?<![A-Za-z0-9+/_=])(?:[A-Za-z0-9+/_=]{4,}+(?:[.-][A-Za-z0-9+/_=]{4,}+){2,}+|[A-Za-z0-9+/_=]{12,}+)"
 LEAST_RATIO = 12.0
 #: Code points of the blocks that masking cuts texts into.
 MASK_BLOCK = 256
@@ -55,10 +56,12 @@ def scan_array(items, state, kind, step):
         walked = F.aggregate(part, F.struct(acc["state"].alias("state"), F.array().cast(kind).alias("out")), one)
         return bound(walked, lambda w: F.struct(w["state"].alias("state"), F.concat(acc["out"], F.array(w["out"])).alias("out")))
 
-    parts = bound(items, lambda v: F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(v) - 1) / SCAN).cast("int")), lambda i: F.slice(v, i * SCAN + 1, F.lit(SCAN))))
-    whole = F.aggregate(parts, F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out")), run, lambda acc: acc["out"])
-    return F.when(F.size(items) > 0, F.flatten(whole)).otherwise(F.array().cast(kind))
+    def whole(v):
+        parts = F.transform(F.sequence(F.lit(0), F.floor((F.size(v) - 1) / SCAN).cast("int")), lambda i: F.slice(v, i * SCAN + 1, F.lit(SCAN)))
+        walked = F.aggregate(parts, F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out")), run, lambda acc: acc["out"])
+        return F.when(F.size(v) > 0, F.flatten(walked)).otherwise(F.array().cast(kind))
+
+    return bound(items, whole)
 
 
 def matches(text, pattern, kind, keep, group=0):
@@ -68,10 +71,10 @@ def matches(text, pattern, kind, keep, group=0):
     split by the pattern once, and positions are running sums of the pieces' lengths.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    values = [F.regexp_extract_all(text, F.lit(pattern), F.lit(group)).alias("value")] if group else []
     # the piece behind the last match has no match
-    steps = F.transform(F.filter(F.arrays_zip(found.alias("found"), F.split(text, pattern, -1).alias("piece"), values.alias("value")), lambda x: x["found"].isNotNull()),
-                        lambda x: F.struct(F.length(x["piece"]).alias("gap"), F.length(x["found"]).alias("size"), keep(x["value"]).alias("kept")))
+    steps = F.transform(F.filter(F.arrays_zip(found.alias("found"), F.split(text, pattern, -1).alias("piece"), *values), lambda x: x["found"].isNotNull()),
+                        lambda x: F.struct(F.length(x["piece"]).alias("gap"), F.length(x["found"]).alias("size"), keep(x["value" if group else "found"]).alias("kept")))
 
     def step(at, x):
         begin, end = at + x["gap"], at + x["gap"] + x["size"]
@@ -159,7 +162,12 @@ def with_spans(docs, table, *, out="_spans", base="_base", text="text"):
     docs = docs.withColumn(base, base_spans(t))
     if table is None:
         return docs.withColumn(out, F.col(base))
-    judged = F.when(t.rlike(TOKEN), matches(t, TOKEN, "random", lambda token: ratio(token, table) >= LEAST_RATIO)).otherwise(_none())
+
+    def is_random(token):
+        return ratio(token, table) >= LEAST_RATIO
+
+    # most texts have no random token, so positions are sought only where one is
+    judged = F.when(F.exists(F.regexp_extract_all(t, F.lit(TOKEN), F.lit(0)), is_random), matches(t, TOKEN, "random", is_random)).otherwise(_none())
     docs = docs.withColumn("_random", judged)
     added = F.when(F.size("_random") > 0, _outside(F.col(base), F.col("_random"))).otherwise(_none())
     return docs.withColumn(out, F.array_sort(F.concat(F.col(base), added))).drop("_random")

@@ -150,3 +150,24 @@ def test_odd_rows(odd, none):
 def test_no_python_in_the_plan(spark, odd):
     plan = secrets.scan(odd, [0.1] * len(secrets.ALPHABET) ** 2)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_pattern_of_judged_tokens():
+    rng = random.Random(11)
+    plain = r"[A-Za-z0-9+/_=]{4,}(?:[.-][A-Za-z0-9+/_=]{4,}){2,}|[A-Za-z0-9+/_=]{12,}"
+    for _ in range(3000):
+        text = "".join(rng.choice("abcdefgh"[:rng.randrange(1, 8)]) * rng.choice((1, 3, 4, 5, 12)) + rng.choice(("", ".", "-", " ", "é", "..")) for _ in range(12))
+        assert [m.span() for m in re.finditer(secrets.TOKEN, text)] == [m.span() for m in re.finditer(plain, text)]
+
+
+def test_texts_are_searched_for_tokens_once(spark, odd):
+    plan = secrets.scan(odd, [0.1] * len(secrets.ALPHABET) ** 2)._jdf.queryExecution().optimizedPlan().toString()
+    # one search of every text; two more, for positions, where a token is random
+    assert 0 < plan.count("{12,}") <= 3
+
+
+def test_walks_compute_their_items_once(spark):
+    items = F.when(F.rand(7) < 0.5, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    walked = secrets.scan_array(items, F.lit(0), "array<int>", lambda at, x: (at + x, F.array(x)))
+    n = spark.range(2000, numPartitions=1).select(F.size(walked).alias("n")).agg(F.sum("n")).first()[0]
+    assert 900 < n < 1100  # a second draw would leave a quarter
