@@ -35,10 +35,11 @@ def _uniforms(i, k):
 
 def _value(i):
     """Value of sample ``i`` for the columns ``word`` (a hash) and ``level``, ln(weight). Three hashes give r, c and b;
-    all of it is arithmetic and three logarithms inside one aggregate's generated code."""
-    r, c = f"(-ln({_uniforms(i, 0)}))", f"ln(-ln({_uniforms(i, 1)}))"
+    all of it is arithmetic and three logarithms inside one aggregate's generated code. For a word that occurs once, as
+    most do, t is 0, its level; notes have no level and no value."""
+    minus_r, c = f"ln({_uniforms(i, 0)})", f"ln(-ln({_uniforms(i, 1)}))"
     b = f"((xxhash64(word, {3 * i + 2}) & 1048575) * {2.0**-20!r}D)"
-    return F.expr(f"{c} - {r} * (floor(level / {r} + {b}) - {b} + 1.0D)")
+    return F.expr(f"{c} + {minus_r} * (1.0D - {b} + CASE WHEN level > 0 THEN floor(level / -{minus_r} + {b}) ELSE level END)")
 
 
 def _documents(docs):

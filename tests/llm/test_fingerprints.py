@@ -2,6 +2,7 @@ import hashlib
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from conftest import SMALL
 from odd_tables import none, odd, words  # noqa: F401
@@ -70,3 +71,14 @@ def test_one_document_is_its_own_next(spark):
 def test_no_python_in_the_plan(spark):
     plan = fingerprints.with_edits(spark.read.parquet(f"{SMALL}/documents.parquet"))._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_values_by_definition(spark):
+    u, v, b = fingerprints._uniforms(5, 0), fingerprints._uniforms(5, 1), f"(xxhash64(word, {3 * 5 + 2}) & 1048575) / 1048576.0D"
+    plain = F.expr(f"ln(-ln({v})) + ln({u}) * (floor(level / -ln({u}) + {b}) - {b} + 1.0D)")
+    rows = spark.sql("select xxhash64(id) word, ln(double(w)) level from range(400) lateral view explode(array(1, 2, 3, 40, null)) as w")
+    new = rows.select("level", plain.alias("plain"), fingerprints._value(5).alias("value"))
+    got = new.collect()
+    assert all(r.value is None if r.level is None else abs(r.plain - r.value) < 1e-9 for r in got) and len(got) == 2000
+    # a word that occurs once needs no division by r
+    assert "CASE WHEN (level" in new._jdf.queryExecution().optimizedPlan().toString()
