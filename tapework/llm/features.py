@@ -107,10 +107,14 @@ def sample_labelled(docs, labelled, label, bound):
     if not found.num_rows:
         empty = np.empty(0, np.int64)
         return empty, Described(empty, empty, empty, np.empty((0, len(STATS))))
-    words, counts = (found[x].combine_chunks() for x in ("buckets", "counts"))
-    stats = found["stats"].combine_chunks().flatten().to_numpy().reshape(-1, len(STATS))
-    return found["label"].to_numpy().astype(np.int64), Described(
-        words.flatten().to_numpy(), counts.flatten().to_numpy(), np.diff(words.offsets.to_numpy()).astype(np.int64), stats)
+    words, counts, stats = (found[x].combine_chunks() for x in ("buckets", "counts", "stats"))
+    labels, described = found["label"].to_numpy().astype(np.int64), Described(
+        words.flatten().to_numpy().copy(), counts.flatten().to_numpy().copy(), np.diff(words.offsets.to_numpy()).astype(np.int64),
+        stats.flatten().to_numpy().reshape(-1, len(STATS)).copy())
+    # the numbers are copied, so that Arrow can give back what the collected batches and their sorting took
+    del found, words, counts, stats
+    pa.default_memory_pool().release_unused()
+    return labels, described
 
 
 class Encoder:

@@ -54,11 +54,12 @@ def stage_table(df, label):
     """Write ``df`` once to the shared folder and return the written table.
 
     Cuts the lineage: several readers share one evaluation, a lost executor costs only a re-read,
-    and later plans see real sizes and prune columns in the Parquet scan.
+    and later plans see real sizes and prune columns in the Parquet scan. Only the writer reads it, after it is done, so it
+    has no success marker: Hadoop's local file system starts a process on the driver for each.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     table = spark.read.schema(df.schema).parquet(path)
     table.staged_at = path
     return table

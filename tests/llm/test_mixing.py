@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from odd_tables import none, odd, odd_labels, words  # noqa: F401
 from tapework.llm import mixing
+from tapework.session import stage_table
 
 
 def table(spark, n=400, k=3, seed=0):
@@ -87,6 +88,28 @@ def test_steps_are_the_same_however_often_rates_are_written(spark, monkeypatch):
     assert np.allclose(found[0], found[1], atol=1e-9) and np.allclose(found[1], found[2], atol=1e-9)
 
 
+def test_a_step_is_one_job(spark, monkeypatch):
+    _, _, df = table(spark, 80, 3, 5)
+    df = stage_table(df, "steps")
+    monkeypatch.setattr(mixing, "STEPS", 8)
+    context = spark.sparkContext
+    context.setJobGroup("steps", "steps")
+    try:
+        rates = mixing.fit_rates(df, [0, 1, 2], {0: 1.0}, total=1.0)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    # one more for the totals before the first step
+    assert len(rates.residuals) == 8 and len(context.statusTracker().getJobIdsForGroup("steps")) == 9
+
+
+def test_totals_add_exactly_what_tasks_send(spark):
+    rows = [(2**53, [1.0, 0.0]), (1, [1.0, 0.5]), (1, [1.0, 0.5]), (0, [0.0, 1.0])]
+    for order in (rows, rows[::-1], [rows[1], rows[0], rows[3], rows[2]]):
+        df = spark.createDataFrame(spark.sparkContext.parallelize(order, 4), "n_tokens long, posterior array<double>")
+        assert mixing._totals(df, [], lambda p: np.ones((len(p), 1)), 2).tolist() == [[2.0**53 + 2, 1.0]]
+    assert mixing._totals(df.limit(0), [], lambda p: p, 2).tolist() == [[0.0, 0.0]]
+
+
 def test_classifier_and_resampling(spark):
     docs, labels = (spark.read.parquet(f"{SMALL.replace('0.001', '0.01')}/{t}.parquet") for t in ("documents", "labels"))
     model = mixing.train(docs, labels, "quality")

@@ -1,3 +1,5 @@
+import os
+
 import corpus_pipeline as pipeline
 from conftest import SMALL
 from odd_tables import none, odd, odd_labels, words  # noqa: F401
@@ -42,6 +44,11 @@ def test_odd_and_empty_tables_pass_all_stages(spark, odd, none, odd_labels, tmp_
         assert pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).count() == docs.count()
 
 
+def test_staged_tables_have_no_success_marker(spark):
+    table = stage_table(spark.range(10).repartition(2), "unmarked")
+    assert "_SUCCESS" not in os.listdir(table.staged_at.removeprefix("file:")) and table.count() == 10
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000), (2000, 1999), (1999, 1998)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

@@ -61,3 +61,10 @@ def test_one_text_per_labelled_id(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     label, described = sample_labelled(docs, labels, "quality", 10)
     assert label.tolist() == [1, 0, 1] and len(described) == 3
+
+
+def test_a_sample_leaves_nothing_with_arrow(spark):
+    docs, labels = (spark.read.parquet(f"{DATA}/{t}.parquet") for t in ("documents", "labels"))
+    before = pa.total_allocated_bytes()
+    y, described = sample_labelled(docs, labels, "quality", 200)
+    assert len(y) == len(described) == 200 and pa.total_allocated_bytes() <= before
