@@ -82,3 +82,30 @@ def test_values_by_definition(spark):
     assert all(r.value is None if r.level is None else abs(r.plain - r.value) < 1e-9 for r in got) and len(got) == 2000
     # a word that occurs once needs no division by r
     assert "CASE WHEN (level" in new._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_words_left_out_are_above_the_limit(spark):
+    words = spark.sql("""select xxhash64(id) word, ln(double(w)) level, 0.06D * w most, if(w = 1, 1.0D, 0.0D) once
+        from range(4000) lateral view explode(array(1, 2, 40)) as w""")
+    got = words.select("once", *[F.struct(fingerprints._may_be_least(i).alias("may"), F.exp(fingerprints._value(i)).alias("a")).alias(f"s{i}") for i in range(8)]).collect()
+    assert all(s.may or s.a > 0.06 for r in got for s in r[1:])
+    # of words that occur once 0.058 are below the limit; the rest need no logarithms
+    assert 0.05 < np.mean([s.may for r in got if r.once for s in r[1:]]) < 0.16
+
+
+def test_least_of_all_words_where_the_limit_is_missed(spark, monkeypatch):
+    docs = spark.createDataFrame(
+        [(k, " ".join(f"w{(k * k * j) % 977}" for j in range(1 + k % 50))) for k in range(120)] + [(500, ""), (501, " \n"), (502, "one")],
+        "doc_id long, text string")
+    full = {r.doc_id: r.fingerprint for r in fingerprints.fingerprints(docs).collect()}
+    redone = []
+    of_pairs = fingerprints._of_pairs
+    monkeypatch.setattr(fingerprints, "_of_pairs", lambda *a, **k: redone.append(bool(k)) or of_pairs(*a, **k))
+    seen = []
+    for reach, again in ((24.0, [False]), (3.0, [False, True]), (0.01, [False, True])):
+        monkeypatch.setattr(fingerprints, "_REACH", reach)
+        redone.clear()
+        got = {r.doc_id: r for r in fingerprints.with_edits(docs).collect()}
+        assert {k: r.fingerprint for k, r in got.items()} == full and redone == again
+        seen.append(got)
+    assert seen[0] == seen[1] == seen[2]
